@@ -37,7 +37,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         return pairs.where("u <> v").distinct()
 
     def state(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.shiftrightunsigned(F.xxhash64("v", "u"), 8))).first())
+        return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first())
 
     nodes = keep(edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).distinct())
     now = keep(nodes.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
