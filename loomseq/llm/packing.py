@@ -41,11 +41,13 @@ def tokenized_pieces(docs: DataFrame, vocabulary: str, sequence_tokens: int = SE
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(vocabulary).encode
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            keys, texts = batch.column(0).to_pylist(), batch.column(1)
             for a, b in in_slices(texts):
                 rows: list[list] = [[], [], [], [], [], []]
-                for key, ids in zip(keys[a:b], encode(texts[a:b])):
-                    ids += end
+                flat, bounds = encode(texts[a:b])
+                data, bounds = flat.tobytes(), (4 * bounds).tolist()
+                for key, first, last in zip(keys[a:b], bounds, bounds[1:]):
+                    ids = data[first:last] + end
                     for piece, at in enumerate(range(0, len(ids), width)):
                         part = ids[at : at + width]
                         for column, value in zip(rows, (key, piece, at // 4, len(part) // 4, zlib.crc32(part), part)):
