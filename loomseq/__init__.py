@@ -1,0 +1 @@
+"""Sequencing data on Spark: alignments, variants, sequences and intervals as DataFrames."""
