@@ -31,10 +31,10 @@ select *, case k when 0 then qlen || 'M' when 1 then a || 'M2D' || b || 'M' when
   substr(translate(md5(qname || '-' || cast(l_linenumber as varchar(10))) || md5('s' || qname), '0123456789abcdef', 'ACGTACGTACGTTGCA'), 1, qlen) as seq,
   substr(translate(md5('q' || qname || '-' || cast(l_linenumber as varchar(10))) || md5('r' || qname), '0123456789abcdef', '#%+05:?BDFGHIJ;2'), 1, qlen) as qual
 from (
-  select (l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey as rec_no, l_linenumber, 'q' || cast(l_orderkey as varchar(20)) as qname, cast(l_suppkey % 5 as int) as tid, 'chr' || cast(l_suppkey % 5 + 1 as varchar(2)) as rname,
+  select ((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey) * 100 + cast(l_quantity as int) as rec_no, l_linenumber, 'q' || cast(l_orderkey as varchar(20)) as qname, cast(l_suppkey % 5 as int) as tid, 'chr' || cast(l_suppkey % 5 + 1 as varchar(2)) as rname,
     (l_partkey * 37 + l_linenumber * 11) % 20000 as pos, cast(l_quantity as int) + 10 as qlen, (cast(l_quantity as int) + 10) - cast(floor((l_quantity + 10) / 2) as int) as b, cast(floor((l_quantity + 10) / 2) as int) as a,
     l_linenumber % 5 as k, cast(round(l_discount * 600) as int) as mapq, 'rg' || cast(l_partkey % 4 as varchar(2)) as rg, cast(round(l_tax * 100) as int) as nm,
-    (l_suppkey + 1) % 5 as mate_tid, (l_partkey * 37 + 200) % 20000 as mate_pos,
+    (l_suppkey + case when l_orderkey % 4 = 0 then 1 else 0 end) % 5 as mate_tid, (l_partkey * 37 + 200) % 20000 as mate_pos,
     1 + case when l_orderkey % 3 = 0 then 2 else 0 end + case when l_partkey % 50 = 0 then 4 else 0 end + case when l_orderkey % 41 = 0 then 8 else 0 end + case when l_linestatus = 'O' then 16 else 0 end
       + case when l_linenumber % 2 = 1 then 64 else 128 end + case when l_linenumber > 5 then 256 else 0 end + case when l_quantity = 50 then 512 else 0 end + case when l_returnflag = 'R' then 1024 else 0 end as flag,
     case when l_linenumber % 3 = 0 then l_partkey % 700 - 100 else 0 end as tlen
@@ -46,7 +46,7 @@ VARIANTS_SQL = """
 select o_orderkey as rec_no, 'chr' || cast(o_custkey % 5 + 1 as varchar(2)) as chrom, o_orderkey * 3 + 1 as pos, case when o_orderkey % 7 = 0 then 'rs' || cast(o_orderkey as varchar(20)) end as id,
   substr('ACGT', cast(o_custkey % 4 as int) + 1, 1) || case when o_orderkey % 11 = 0 then 'GT' else '' end as ref,
   substr('CGTA', cast(o_custkey % 4 as int) + 1, 1) || case when o_orderkey % 13 = 0 then 'TTA' when o_orderkey % 11 = 0 then 'G' else '' end || case when o_orderkey % 17 = 0 then ',' || substr('GTAC', cast(o_custkey % 4 as int) + 1, 1) else '' end as alt,
-  round(o_totalprice / 1000, 2) as qual, case o_orderstatus when 'O' then 'PASS' when 'F' then 'q10' else '.' end as filter, cast(o_custkey % 60 as int) as dp, o_orderkey % 5 = 0 as db,
+  floor(o_totalprice / 10) / 100e0 as qual, case o_orderstatus when 'O' then 'PASS' when 'F' then 'q10' else '.' end as filter, cast(o_custkey % 60 as int) as dp, o_orderkey % 5 = 0 as db,
   cast(o_orderkey % 3 as int) as g1, cast(o_custkey % 4 as int) as g2, cast((o_orderkey + o_custkey) % 3 as int) as g3
 from orders
 """

@@ -219,7 +219,7 @@ def _product(sign: str, a, b):
 
 def _equal(sign: str, a, b):
     if sign in ("=~", "!~"):
-        found = string(a).rlike(string(b))
+        found = F.regexp_like(string(a), string(b))
         return ("b", found if sign == "=~" else ~found)
     if _is_text(a, b):
         same = string(a) == string(b)

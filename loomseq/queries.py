@@ -25,7 +25,7 @@ _BLOCKS = """(
   union all
   select rec_no, qname, flag, mapq, rname, case k when 1 then pos + a + 2 when 3 then pos + a else pos + a + 50 end, case k when 1 then pos + a + 2 + b when 3 then pos + a + b - 2 else pos + a + 50 + b end, case k when 3 then a + 2 else a end, seq, qual, k from r where k in (1, 3, 4)
 )"""
-_BASES = f"(select *, start + i as at, substr(seq, cast(query + i + 1 as int), 1) as base, ascii(substr(qual, cast(query + i + 1 as int), 1)) - 33 as q from (select *, unnest(range(stop - start)) as i from {_BLOCKS}))"
+_BASES = f"(select *, start + i as p_, substr(seq, cast(query + i + 1 as int), 1) as base, ascii(substr(qual, cast(query + i + 1 as int), 1)) - 33 as q from (select *, unnest(range(stop - start)) as i from {_BLOCKS}))"
 
 
 def query(sql: str | None = None):
@@ -116,7 +116,7 @@ def overlap_bases(spark, sf_dir):
     return lens.reads(spark, sf_dir).select("rec_no", cigar.overlap(2000, 6000).alias("overlap"))
 
 
-@query(f"{_R} select rec_no, at as ref, query + i as query from {_BASES} where rname = 'chr4' and rec_no % 50 < 25")
+@query(f"{_R} select rec_no, p_ as ref, query + i as query from {_BASES} where rname = 'chr4' and rec_no % 50 < 25")
 def aligned_pairs_explode(spark, sf_dir):
     rows = lens.reads(spark, sf_dir).where("rname = 'chr4' and rec_no % 50 < 25").select("rec_no", F.explode(cigar.aligned_pairs(matches_only=True)).alias("p"))
     return rows.select("rec_no", "p.ref", F.col("p.query").alias("query"))
@@ -135,24 +135,24 @@ def introns(spark, sf_dir):
     return depth.find_introns(lens.reads(spark, sf_dir))
 
 
-@query(f"{_R} select rname, at as pos, count(*) as depth from {_BASES} where {_GOOD} group by 1, 2")
+@query(f"{_R} select rname, p_ as pos, count(*) as depth from {_BASES} where {_GOOD} group by 1, 2")
 def depth_per_pos(spark, sf_dir):
     return depth.depth(lens.reads(spark, sf_dir)).select("rname", "pos", "depth")
 
 
-@query(f"{_R} select rname, at as pos, count(*) as depth from {_BASES} where {_GOOD} and mapq >= 20 and q >= 20 group by 1, 2")
+@query(f"{_R} select rname, p_ as pos, count(*) as depth from {_BASES} where {_GOOD} and mapq >= 20 and q >= 20 group by 1, 2")
 def depth_with_quality(spark, sf_dir):
     return depth.depth(lens.reads(spark, sf_dir), min_mapq=20, min_baseq=20).select("rname", "pos", "depth")
 
 
-@query(f"{_R} select rname, count(*) as positions, sum(depth)::bigint as bases, max(depth) as deepest from (select rname, at, count(*) as depth from {_BASES} where {_GOOD} group by 1, 2) group by rname")
+@query(f"{_R} select rname, count(*) as positions, sum(depth)::bigint as bases, max(depth) as deepest from (select rname, p_, count(*) as depth from {_BASES} where {_GOOD} group by 1, 2) group by rname")
 def depth_diff_array(spark, sf_dir):
     runs = depth.runs(depth.covered_blocks(depth.filtered(lens.reads(spark, sf_dir))))
     width = F.col("stop") - F.col("start")
     return runs.groupBy("rname").agg(F.sum(width).alias("positions"), F.sum(width * F.col("depth")).alias("bases"), F.max("depth").alias("deepest"))
 
 
-@query(f"""{_R}, p as (select rname, at, count(*) as d, sum(q) as q from {_BASES} where {_GOOD} group by 1, 2), n as (select rname, count(*) as numreads, avg(mapq) as meanmapq from r where {_GOOD} group by 1)
+@query(f"""{_R}, p as (select rname, p_, count(*) as d, sum(q) as q from {_BASES} where {_GOOD} group by 1, 2), n as (select rname, count(*) as numreads, avg(mapq) as meanmapq from r where {_GOOD} group by 1)
 select p.rname, 1::bigint as startpos, {lens.CONTIG_LENGTH}::bigint as endpos, any_value(numreads)::bigint as numreads, count(*)::bigint as covbases, round(100.0 * count(*) / {lens.CONTIG_LENGTH}, 6) as coverage, round(sum(d) / {lens.CONTIG_LENGTH}, 6) as meandepth, round(sum(q) / sum(d), 6) as meanbaseq, round(any_value(meanmapq), 6) as meanmapq
 from p join n on p.rname = n.rname group by p.rname""")
 def coverage_summary(spark, sf_dir):
@@ -160,8 +160,8 @@ def coverage_summary(spark, sf_dir):
     return out.where("covbases > 0").select(*(F.round(c, 6).alias(c) if t == "double" else c for c, t in out.dtypes))
 
 
-@query(f"""{_R}, t as ({lens.REGIONS_SQL}), p as (select rname, at, count(*) as d from (select rname, flag, at from {_BASES} union all select rname, flag, unnest(range(pos + a, pos + a + case k when 1 then 2 else 50 end)) from r where k in (1, 4)) where {_GOOD} group by 1, 2)
-select region_id, coalesce((select sum(d) from p where p.rname = t.contig and at >= start and at < stop), 0)::bigint as bases, (select count(*) from r where r.rname = t.contig and {_GOOD} and pos < stop and pos + span > start)::bigint as reads from t""")
+@query(f"""{_R}, t as ({lens.REGIONS_SQL}), p as (select rname, p_, count(*) as d from (select rname, flag, p_ from {_BASES} union all select rname, flag, unnest(range(pos + a, pos + a + case k when 1 then 2 else 50 end)) as p_ from r where k in (1, 4)) where {_GOOD} group by 1, 2)
+select region_id, coalesce((select sum(d) from p where p.rname = t.contig and p_ >= start and p_ < stop), 0)::bigint as bases, (select count(*) from r where r.rname = t.contig and {_GOOD} and pos < stop and pos + span > start)::bigint as reads from t""")
 def bedcov(spark, sf_dir):
     return depth.bed_coverage(lens.reads(spark, sf_dir), lens.targets(spark, sf_dir)).select("region_id", "bases", "reads")
 
@@ -197,7 +197,7 @@ def region_subtract(spark, sf_dir):
     return regions.subtract_intervals(t, other).groupBy("contig").agg(F.sum(F.col("stop") - F.col("start")).alias("bases"))
 
 
-@query(f"{_R} select p as pos, sum(case when base = 'A' then 1 else 0 end)::bigint as a, sum(case when base = 'C' then 1 else 0 end)::bigint as c, sum(case when base = 'G' then 1 else 0 end)::bigint as g, sum(case when base = 'T' then 1 else 0 end)::bigint as t from range(1000, 3000) x(p) left join (select * from {_BASES} where rname = 'chr3' and {_GOOD} and q >= 15) on at = p group by p")
+@query(f"{_R} select p as pos, sum(case when base = 'A' then 1 else 0 end)::bigint as a, sum(case when base = 'C' then 1 else 0 end)::bigint as c, sum(case when base = 'G' then 1 else 0 end)::bigint as g, sum(case when base = 'T' then 1 else 0 end)::bigint as t from range(1000, 3000) x(p) left join (select * from {_BASES} where rname = 'chr3' and {_GOOD} and q >= 15) on p_ = p group by p")
 def count_coverage_acgt(spark, sf_dir):
     return depth.count_coverage(lens.reads(spark, sf_dir), "chr3", 1000, 3000)
 
@@ -288,7 +288,7 @@ def sam_round_trip(spark, sf_dir):
     return sam.lines(lens.reads(spark, sf_dir).where("mate_tid <> tid"))
 
 
-@query(f"{_R} select rname, at as pos, count(*) as n, sum(case when q >= 13 then 1 else 0 end)::bigint as aligned from {_BASES} where rname = 'chr2' and at >= 500 and at < 2500 and {_GOOD} and k in (0, 2) and flag & 2 > 0 group by 1, 2")
+@query(f"{_R} select rname, p_ as pos, count(*) as n, sum(case when q >= 13 then 1 else 0 end)::bigint as aligned from {_BASES} where rname = 'chr2' and p_ >= 500 and p_ < 2500 and {_GOOD} and k in (0, 2) and flag & 2 > 0 group by 1, 2")
 def pileup_columns(spark, sf_dir):
     rows = lens.reads(spark, sf_dir).where("not cigar rlike '[DIN]'")
     bases = pileup.in_region(pileup.pileup_bases(rows, ignore_overlaps=False), regions.Region("chr2", 500, 2500))

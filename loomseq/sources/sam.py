@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import cigar
 from ..headers import AlignmentHeader
+from ..plans.settings import for_parsed_text
 
 
 def read_header(spark: SparkSession, path: str) -> AlignmentHeader:
@@ -36,6 +37,7 @@ def parse(lines: DataFrame, header: AlignmentHeader) -> DataFrame:
     contigs get their number in the header (-1 for none).
     """
     spark = lines.sparkSession
+    for_parsed_text(spark)
     known = header.contigs(spark).select(F.col("name"), F.col("tid"))
     numbers = F.create_map(*(F.lit(x) for i, n in enumerate(header.references) for x in (n, i))) if 0 < header.nreferences <= 2000 else None
     f = lambda i: F.get(F.col("f"), F.lit(i))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..headers import Field, VariantHeader
+from ..plans.settings import for_parsed_text
 
 
 def read_header(spark: SparkSession, *paths: str) -> VariantHeader:
@@ -28,6 +29,7 @@ def parse(lines: DataFrame, header: VariantHeader, samples: list[str] | None = N
     is start plus the length of REF, or INFO/END. ``.`` is null (an empty array
     for ALT and FILTER); flags in INFO have an empty value.
     """
+    for_parsed_text(lines.sparkSession)
     f = lambda i: F.get("f", F.lit(i))
     dot = lambda c: F.nullif(c, F.lit("."))
     many = lambda c, by: F.when(dot(c).isNull(), F.array().cast("array<string>")).otherwise(F.split(c, by))
