@@ -51,9 +51,8 @@ def shingle_hashes(text: str, words_each: int = SHINGLE_WORDS) -> np.ndarray:
     return np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, (ends[words_each - 1 :] - 1).tolist())), np.uint64, n - words_each + 1)
 
 
-def fingerprint(text: str, words_each: int = SHINGLE_WORDS) -> int:
-    """The 64-bit fingerprint as a signed integer."""
-    hashes = shingle_hashes(text, words_each)
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half of the hashes, as a signed integer."""
     votes = np.zeros(64, np.int64)
     for a in range(0, len(hashes), 65536):
         part = hashes[a : a + 65536]
@@ -61,6 +60,21 @@ def fingerprint(text: str, words_each: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * votes > len(hashes), bitorder="little").view(np.int64)[0])
 
 
+def family_of(hashes: np.ndarray, family: int) -> np.ndarray:
+    """Hashes that are independent of those of other families; family 0 has them as they are."""
+    if not family:
+        return hashes
+    x = hashes + np.uint64(family * 0x9E3779B97F4A7C15 % (1 << 64))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
+
+
+def fingerprint(text: str, words_each: int = SHINGLE_WORDS) -> int:
+    """The 64-bit fingerprint as a signed integer."""
+    return majority(shingle_hashes(text, words_each))
+
+
 def fingerprints(docs: DataFrame, words_each: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp long), one row per row of ``docs``."""
 
@@ -153,12 +167,49 @@ def near_duplicates(docs: DataFrame, words_each: int = SHINGLE_WORDS, radius: in
     return found.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, words_each: int = SHINGLE_WORDS, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def family_groups(docs: DataFrame, words_each: int, radius: int, families: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, component_id) where documents are linked that any of several independent fingerprints links.
+
+    A document's class is the hash of all its fingerprints. Classes meet where
+    they share a fingerprint, and fingerprints where they are within the radius;
+    only classes and fingerprints that meet another enter the components.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for t in batch.column(1):
+                hashes = shingle_hashes(t.as_py() or "", words_each)
+                rows.append([majority(family_of(hashes, f)) for f in range(families)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int64()))], names=["doc_id", "fps"])
+
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    found = materialise(source.mapInArrow(run, "doc_id long, fps array<long>").withColumn("class", F.xxhash64("fps")), "fingerprints")
+    classes = materialise(found.groupBy("class").agg(F.min("doc_id").alias("least"), F.first("fps").alias("fps")), "classes")
+    edges = None
+    for f in range(families):
+        of_class = classes.select("class", F.get("fps", F.lit(f)).alias("fp"))
+        nodes = materialise(of_class.groupBy("fp").agg(F.min("class").alias("class"), F.count("*").alias("n")), "nodes")
+        links = materialise(fingerprint_links(nodes, radius), "links")
+        lead = nodes.select(F.col("fp").alias("src"), F.col("class").alias("a")), nodes.select(F.col("fp").alias("dst"), F.col("class").alias("b"))
+        near = links.join(lead[0], "src").join(lead[1], "dst").select(F.col("a").alias("src"), F.col("b").alias("dst"))
+        shared = materialise(nodes.where("n > 1").select("fp", F.col("class").alias("src")), "shared")
+        same = of_class.join(shared, "fp").where("src <> class").select("src", F.col("class").alias("dst"))
+        edges = near.unionByName(same) if edges is None else edges.unionByName(near).unionByName(same)
+    groups = connected_components(edges)
+    members = groups.join(classes.select(F.col("class").alias("node"), "least"), "node")
+    of_group = members.groupBy("component").agg(F.min("least").alias("of_group"))
+    linked = materialise(members.join(of_group, "component").select(F.col("node").alias("class"), "of_group"), "linked")
+    named = materialise(classes.select("class", "least").join(linked, "class", "left").select("class", F.coalesce("of_group", "least").alias("component_id")), "named")
+    return found.select("doc_id", "class").join(named, "class").select("doc_id", "component_id")
+
+
+def keep_one(docs: DataFrame, words_each: int = SHINGLE_WORDS, radius: int = RADIUS, families: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the document of the smallest id of each group; of rows that repeat an id and a text, one.
 
     Rows without an id cannot be named as anyone's copy and stay.
     """
-    groups = materialise(near_duplicates(docs, words_each, radius, id_col, text_col), "groups")
+    groups = materialise(family_groups(docs, words_each, radius, families, id_col, text_col), "groups")
     gone = groups.where("component_id is not null and doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
     kept = docs.join(gone, id_col, "left_anti").select(*docs.columns)
     if groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
