@@ -62,3 +62,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name), F.lit(""))
+
+
+def fresh_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have yet, whatever the case."""
+    taken, name = {c.lower() for c in df.columns}, base
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import fresh_name, materialise
 from .components import connected_components
 
 SHINGLE_WORDS = 3
@@ -213,6 +213,6 @@ def keep_one(docs: DataFrame, words_each: int = SHINGLE_WORDS, radius: int = RAD
     gone = groups.where("component_id is not null and doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
     kept = docs.join(gone, id_col, "left_anti").select(*docs.columns)
     if groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        repeated = F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())
-        kept = kept.withColumn("_repeated", repeated).dropDuplicates([id_col, text_col, "_repeated"]).drop("_repeated")
+        row = fresh_name(docs, "row")
+        kept = kept.withColumn(row, F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())).dropDuplicates([id_col, text_col, row]).drop(row)
     return kept

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import fresh_name, materialise
 
 DEPTH = 100
 GRAM = 32
@@ -405,11 +405,12 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     spans = materialise(repeated_spans(ids), "spans")
     names = docs.columns
     at = names.index(text_col)
+    doc, of_text, cut = (fresh_name(docs, c) for c in ("doc", "of_text", "spans"))
     if numbers is None:
-        joined = docs.join(spans.withColumnRenamed("doc", "_doc"), F.col(id_col).cast("long") == F.col("_doc"), "left").select(*names, "spans")
+        joined = docs.join(spans.select(F.col("doc").alias(doc), F.col("spans").alias(cut)), F.col(id_col).cast("long") == F.col(doc), "left").select(*names, cut)
     else:
-        named = materialise(numbers.join(spans.withColumnRenamed("doc", "number"), "number").select(F.col("doc").alias("_doc"), F.col("of_text").alias("_of_text"), "spans"), "named")
-        joined = docs.join(named, F.col(id_col).cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_of_text")), "left").select(*names, "spans")
+        named = materialise(numbers.join(spans.withColumnRenamed("doc", "number"), "number").select(F.col("doc").alias(doc), F.col("of_text").alias(of_text), F.col("spans").alias(cut)), "named")
+        joined = docs.join(named, F.col(id_col).cast("long").eqNullSafe(F.col(doc)) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col(of_text)), "left").select(*names, cut)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

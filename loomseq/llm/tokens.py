@@ -31,7 +31,7 @@ CACHE_ENTRIES = 800_000
 _LETTER_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Punctuation but for the apostrophe and the signs of special tokens; letters (ASCII, Latin-1, Latin Extended-A) and digits.
 _SIGNS = r"!-&(-/:;=?@\[-`{}~"
-_ALNUM = "A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
+_ALNUM = "A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"  # but the dotted I, whose lower case ends in a mark
 _LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u017f]+\\Z")
 
 _loaded: dict[str, "WordCache | PieceModel"] = {}
