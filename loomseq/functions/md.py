@@ -6,6 +6,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _CIGAR = re.compile(r"(\d+)([MIDNSHP=XB])")
 _MD = re.compile(r"(\d+)|\^([A-Za-z]+)|([A-Za-z])")
@@ -43,7 +44,7 @@ def reference_of(seq: str | None, cigar: str | None, md: str | None) -> str | No
     return "".join(out) if k == len(aligned) else None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def reference_sequence(seq: pd.Series, cigar: pd.Series, md: pd.Series) -> pd.Series:
     return pd.Series([reference_of(*v) for v in zip(seq, cigar, md)], dtype=object)
 
@@ -71,11 +72,12 @@ def mismatches_of(seq: str | None, cigar: str | None, reference: str | None) ->
     return {"nm": nm, "md": f"{md}{run}"}
 
 
-@F.pandas_udf("nm int, md string")
+@F.pandas_udf(T.StructType([T.StructField("nm", T.IntegerType()), T.StructField("md", T.StringType())]))
 def mismatches(seq: pd.Series, cigar: pd.Series, reference: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([mismatches_of(*v) for v in zip(seq, cigar, reference)], columns=["nm", "md"])
 
 
+_MODIFICATION = T.ArrayType(T.StructType([T.StructField(n, t) for n, t in (("base", T.StringType()), ("strand", T.IntegerType()), ("code", T.StringType()), ("pos", T.IntegerType()), ("qual", T.IntegerType()))]))
 _COMPLEMENT = str.maketrans("ACGTUN", "TGCAAN")
 
 
@@ -104,7 +106,7 @@ def modifications_of(seq: str | None, mm: str | None, ml: list | None, reverse:
     return sorted(out, key=lambda r: (r["base"], r["strand"], r["code"], r["pos"]))
 
 
-@F.pandas_udf("array<struct<base:string,strand:int,code:string,pos:int,qual:int>>")
+@F.pandas_udf(_MODIFICATION)
 def modified_bases(seq: pd.Series, mm: pd.Series, ml: pd.Series, reverse: pd.Series) -> pd.Series:
     return pd.Series([modifications_of(s, m, None if q is None else list(q), bool(r)) for s, m, q, r in zip(seq, mm, ml, reverse)], dtype=object)
 

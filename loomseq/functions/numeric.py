@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def log_binomial(n: int, k: int) -> float:
@@ -46,17 +47,17 @@ def hardy_weinberg(het: int, hom_ref: int, hom_alt: int) -> float:
     return min(1.0, sum(math.exp(v - top) for v in logs.values() if v <= logs[het] + 1e-9) / total)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def fisher_exact(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
     return pd.Series([None if any(pd.isna(x) for x in v) else fisher(*map(int, v)) for v in zip(a, b, c, d)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def binomial_test(n: pd.Series, k: pd.Series) -> pd.Series:
     return pd.Series([None if pd.isna(x) or pd.isna(y) else binomial_two_sided(int(x), int(y)) for x, y in zip(n, k)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def hwe_test(het: pd.Series, ref: pd.Series, alt: pd.Series) -> pd.Series:
     return pd.Series([hardy_weinberg(int(a), int(b), int(c)) for a, b, c in zip(het, ref, alt)], dtype="float64")
 

@@ -10,22 +10,22 @@ from ..sources.fastx import CHUNK
 from .reads import mixed, name_hash
 
 
-def pileup_bases(reads: DataFrame, stepper: str = "samtools", ignore_overlaps: bool = True, ignore_orphans: bool = True, flag_filter: int = flags.EXCLUDED, flag_require: int = 0, min_mapq: int = 0, where: Column | None = None) -> DataFrame:
+def pileup_bases(reads: DataFrame, stepper: str = "default", ignore_overlaps: bool = True, ignore_orphans: bool = True, flag_filter: int = flags.EXCLUDED, flag_require: int = 0, min_mapq: int = 0, where: Column | None = None) -> DataFrame:
     """One row per read and reference position that it spans.
 
     Columns: rname, tid, pos, file_id, rec_no, qname, flag, mapq, query (null in
     deletions and skips), query_or_next, base, q, is_del, is_refskip, indel (length
     of the insertion, or less that of the deletion, that follows), insert (its
     bases), is_head, is_tail. Stepper ``all`` leaves out ``flag_filter``,
-    ``nofilter`` only unmapped reads, ``samtools`` orphans too if told so;
+    ``nofilter`` only unmapped reads, ``default`` orphans too if told so;
     ``flag_require`` asks for any of its bits.
     """
     test = flags.lacks(4) & F.col("cigar_ops").isNotNull() & (F.col("mapq") >= min_mapq)
-    if stepper in ("all", "samtools"):
+    if stepper in ("all", "default"):
         test &= flags.lacks(flag_filter)
     if flag_require:
         test &= ~flags.lacks(flag_require)
-    if stepper == "samtools" and ignore_orphans:
+    if stepper == "default" and ignore_orphans:
         test &= flags.lacks(1) | flags.has(2)
     if where is not None:
         test &= where
@@ -48,7 +48,7 @@ def pileup_bases(reads: DataFrame, stepper: str = "samtools", ignore_overlaps: b
         (F.ascii(F.substring("qual", F.col("b.next").cast("int") + 1, F.lit(1))) - 33).alias("q"), F.col("b.is_del").alias("is_del"), F.col("b.is_refskip").alias("is_refskip"), F.col("b.indel").cast("int").alias("indel"),
         F.when(F.col("b.indel") > 0, F.expr("substring(seq, cast(b.next as int) + 2 - if(b.is_del, 1, 0), b.indel)")).alias("insert"), (F.col("b.pos") == F.col("first")).alias("is_head"), (F.col("b.pos") == F.col("first") + F.col("span") - 1).alias("is_tail"),
     )
-    return one_per_template(out) if ignore_overlaps and stepper == "samtools" else out
+    return one_per_template(out) if ignore_overlaps and stepper == "default" else out
 
 
 def one_per_template(bases: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -275,11 +276,17 @@ def split_multiallelic(df: DataFrame, header: VariantHeader) -> DataFrame:
     return df.where("size(alts) <= 1").unionByName(parts.select(*df.columns))
 
 
+def _in_order(*names: str) -> Column:
+    """The records of a place as an array of structs in input order; maps do not compare, so only the order does."""
+    before = lambda a, b, c, then: F.when(a[c] < b[c], -1).when(a[c] > b[c], 1).otherwise(then)
+    return F.array_sort(F.collect_list(F.struct("file_id", "rec_no", *names)), lambda a, b: before(a, b, "file_id", before(a, b, "rec_no", F.lit(0))))
+
+
 def join_biallelic(df: DataFrame, collapse: str = "both") -> DataFrame:
     """Records of one place (and kind) as one: references extended to the longest, alternates joined, genotypes renumbered; INFO of the first."""
     rows = df.withColumn("_kind", site_key(collapse)[-1] if collapse == "both" else F.lit(""))
     sites = rows.groupBy("chrom", "pos", "_kind").agg(
-        F.max_by("ref", F.length("ref")).alias("_ref"), F.array_sort(F.collect_list(F.struct("file_id", "rec_no", "ref", "alts", "id", "qual", "filters", "info", "format", "samples", "rid"))).alias("_r")
+        F.max_by("ref", F.length("ref")).alias("_ref"), _in_order("ref", "alts", "id", "qual", "filters", "info", "format", "samples", "rid").alias("_r")
     )
     longest = "transform(x.alts, a -> concat(a, substring(_ref, length(x.ref) + 1)))"
     alts = F.expr(f"array_distinct(flatten(transform(_r, x -> {longest})))")
@@ -311,8 +318,6 @@ def left_align(df: DataFrame, ref_chunks: DataFrame, window: int = 1000) -> Data
     The reference before each record is joined by chunk; the move itself is a
     loop over bases and runs in Arrow batches.
     """
-    import pandas as pd
-
     from ..sources.fastx import CHUNK
 
     @F.pandas_udf("pos bigint, ref string, alts array<string>, ref_ok boolean")
@@ -367,7 +372,7 @@ def merge(tables: list[DataFrame], headers: list[VariantHeader], info_rules: dic
         both = t if both is None else both.unionByName(t)
     kind = F.element_at(variant_types(), 1)
     rows = both.withColumn("_kind", F.when(kind.isin("snp", "mnp", "ref"), "snp").otherwise(kind))
-    sites = rows.groupBy("chrom", "pos", "_kind").agg(F.max_by("ref", F.length("ref")).alias("_ref"), F.array_sort(F.collect_list(F.struct("file_id", "rec_no", "ref", "alts", "id", "qual", "filters", "info", "samples", "rid"))).alias("_r"))
+    sites = rows.groupBy("chrom", "pos", "_kind").agg(F.max_by("ref", F.length("ref")).alias("_ref"), _in_order("ref", "alts", "id", "qual", "filters", "info", "samples", "rid").alias("_r"))
     longest = "transform(x.alts, a -> concat(a, substring(_ref, length(x.ref) + 1)))"
     out = sites.withColumn("alts", F.expr(f"array_distinct(flatten(transform(_r, x -> {longest})))"))
     numbers = f"concat(array(0), transform({longest}, a -> cast(array_position(alts, a) as int)))"
