@@ -55,7 +55,8 @@ REGIONS_SQL = "select s_suppkey as region_id, 'chr' || cast(s_suppkey % 5 + 1 as
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> None:
-    spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+    """The table as a view. Its one small file makes one task, so its few plain columns are dealt to all cores before text is made of them."""
+    spark.read.parquet(f"{sf_dir}/{name}.parquet").repartition(spark.sparkContext.defaultParallelism).createOrReplaceTempView(name)
 
 
 def sam_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +69,7 @@ def sam_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sam.parse(sam_lines(spark, sf_dir), HEADER)
+    return sam.parse(sam_lines(spark, sf_dir), HEADER, records_only=True)
 
 
 def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +84,7 @@ def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vcf.parse(vcf_lines(spark, sf_dir), VCF_HEADER)
+    return vcf.parse(vcf_lines(spark, sf_dir), VCF_HEADER, records_only=True)
 
 
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:

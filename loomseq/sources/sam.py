@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import cigar
 from ..headers import AlignmentHeader
-from ..plans.settings import for_parsed_text
+from ..plans.settings import fields_once, for_parsed_text
 
 
 def read_header(spark: SparkSession, path: str) -> AlignmentHeader:
@@ -30,8 +30,9 @@ def _tag(text: str) -> str:
     )
 
 
-def parse(lines: DataFrame, header: AlignmentHeader) -> DataFrame:
-    """``reads`` from lines (value, file_id, rec_no); header and blank lines are left out.
+def parse(lines: DataFrame, header: AlignmentHeader, records_only: bool = False) -> DataFrame:
+    """``reads`` from lines (value, file_id, rec_no); header and blank lines are left out
+    (``records_only``: there are none, and lines that are costly to make are made once).
 
     Positions become 0-based, ``*`` null, ``=`` the read's own contig, and
     contigs get their number in the header (-1 for none).
@@ -42,7 +43,8 @@ def parse(lines: DataFrame, header: AlignmentHeader) -> DataFrame:
     numbers = F.create_map(*(F.lit(x) for i, n in enumerate(header.references) for x in (n, i))) if 0 < header.nreferences <= 2000 else None
     f = lambda i: F.get(F.col("f"), F.lit(i))
     star = lambda c: F.nullif(c, F.lit("*"))
-    rows = lines.where((F.col("value") != "") & ~F.col("value").startswith("@")).select("file_id", "rec_no", F.split("value", "\t").alias("f"))
+    kept = lines if records_only else lines.where((F.col("value") != "") & ~F.col("value").startswith("@"))
+    rows = kept.select("file_id", "rec_no", fields_once(F.col("value")).alias("f"))
     out = rows.select(
         f(0).alias("qname"),
         f(1).cast("int").alias("flag"),

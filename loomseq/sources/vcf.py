@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..headers import Field, VariantHeader
-from ..plans.settings import for_parsed_text
+from ..plans.settings import fields_once, for_parsed_text
 
 
 def read_header(spark: SparkSession, *paths: str) -> VariantHeader:
@@ -22,7 +22,7 @@ def genotype(text: str) -> str:
     )
 
 
-def parse(lines: DataFrame, header: VariantHeader, samples: list[str] | None = None) -> DataFrame:
+def parse(lines: DataFrame, header: VariantHeader, samples: list[str] | None = None, records_only: bool = False) -> DataFrame:
     """``variants`` from lines (value, file_id, rec_no).
 
     ``samples``: only these, an empty list none. ``start`` is 0-based, ``stop``
@@ -47,7 +47,8 @@ def parse(lines: DataFrame, header: VariantHeader, samples: list[str] | None = N
     ]
     numbers = {c: i for i, c in enumerate(header.contigs)}
     rid = F.try_element_at(F.create_map(*(F.lit(x) for kv in numbers.items() for x in kv)), f(0)) if numbers else F.lit(None).cast("int")
-    rows = lines.where((F.col("value") != "") & ~F.col("value").startswith("#")).select("file_id", "rec_no", F.split("value", "\t").alias("f"))
+    kept = lines if records_only else lines.where((F.col("value") != "") & ~F.col("value").startswith("#"))
+    rows = kept.select("file_id", "rec_no", fields_once(F.col("value")).alias("f"))
     end = F.expr("try_cast(try_element_at(info, 'END') as bigint)")
     out = rows.select(
         rid.alias("rid"), f(0).alias("chrom"), f(1).cast("bigint").alias("pos"), (f(1).cast("bigint") - 1).alias("start"), dot(f(2)).alias("id"), f(3).alias("ref"), many(f(4), ",").alias("alts"),
