@@ -148,15 +148,16 @@ def fix_mates(reads: DataFrame, add_cigar: bool = True, add_score: bool = False,
 
     primary = flags.lacks(0x900) & flags.has(1)
     part = F.col("flag").bitwiseAND(F.lit(0xC0))
-    side = reads.where(primary).select(
-        F.col("qname").alias("_q"), part.alias("_p"), F.col("flag").alias("_flag"), F.col("tid").alias("_tid"), F.col("rname").alias("_rname"), F.col("pos").alias("_pos"), F.col("end_pos").alias("_end"), F.col("mapq").alias("_mapq"), F.col("cigar").alias("_cigar"), base_score().alias("_score")
-    )
+    fields = {"_flag": F.col("flag"), "_tid": F.col("tid"), "_rname": F.col("rname"), "_pos": F.col("pos"), "_end": F.col("end_pos"), "_mapq": F.col("mapq"), "_cigar": F.col("cigar"), "_score": base_score()}
+    # A name that repeats a place in its pair has its first record there for a mate.
+    first = F.min_by(F.struct(*(c.alias(n) for n, c in fields.items())), F.struct("file_id", "rec_no")).alias("m")
+    side = reads.where(primary).groupBy(F.col("qname").alias("_q"), part.alias("_p")).agg(first).select("_q", "_p", "m.*")
     joined = reads.join(side, (F.col("qname") == F.col("_q")) & primary & (part + F.col("_p") == 0xC0) & (part != F.col("_p")), "left")
     has_mate = F.col("_q").isNotNull()
     mine, theirs = flags.lacks(4), flags.lacks(4, "_flag")
     both = mine & theirs & (F.col("tid") == F.col("_tid"))
     span = F.greatest("end_pos", "_end") - F.least("pos", "_pos")
-    first = (F.col("pos") < F.col("_pos")) | ((F.col("pos") == F.col("_pos")) & (part == 0x40))
+    leftmost = (F.col("pos") < F.col("_pos")) | ((F.col("pos") == F.col("_pos")) & (part == 0x40))
     # An unmapped read takes its mapped mate's place.
     place = lambda own, other: F.when(has_mate & ~mine & theirs, F.col(other)).otherwise(F.col(own))
     mate_at = lambda own, other: F.when(has_mate & mine & ~theirs, F.col(own)).otherwise(F.col(other))
@@ -171,7 +172,7 @@ def fix_mates(reads: DataFrame, add_cigar: bool = True, add_score: bool = False,
             "flag": F.when(has_mate, flag).otherwise(F.col("flag")),
             "tid": place("tid", "_tid"), "rname": place("rname", "_rname"), "pos": place("pos", "_pos"), "end_pos": F.when(has_mate & ~mine & theirs, F.col("_pos") + 1).otherwise(F.col("end_pos")),
             "mate_tid": F.when(has_mate, mate_at("tid", "_tid")).otherwise(F.col("mate_tid")), "mate_rname": F.when(has_mate, mate_at("rname", "_rname")).otherwise(F.col("mate_rname")), "mate_pos": F.when(has_mate, mate_at("pos", "_pos")).otherwise(F.col("mate_pos")),
-            "tlen": F.when(has_mate & both, F.when(first, span).otherwise(-span)).when(has_mate, 0).otherwise(F.col("tlen")),
+            "tlen": F.when(has_mate & both, F.when(leftmost, span).otherwise(-span)).when(has_mate, 0).otherwise(F.col("tlen")),
         }
     )
     out = set_tag(out, "MQ", F.when(has_mate & theirs, F.col("_mapq")).otherwise(F.expr("try_element_at(tags, 'MQ').i")), "i")

@@ -435,3 +435,83 @@ def genotypes_long(spark, sf_dir):
     alleles = F.col("gt.alleles")
     code = F.when(F.exists(alleles, lambda a: a.isNull()), 3).otherwise(F.aggregate(alleles, F.lit(0), lambda t, a: t + a))
     return g.groupBy("sample", code.alias("g")).agg(F.count("*").alias("n"))
+
+
+@query(f"{_V} select rec_no, chrom || ':' || (pos - 1) || ' ' || ref || '>' || alt || ' DP=' || dp || string_agg(' ' || s || '=' || case g when 0 then '0/0' when 1 then '0/1' when 2 then '1|1' else './.' end || '(' || sdp || ')', '' order by s) as value from v join (select rec_no as n, s, g, sdp from ({_LONG_GT})) l on l.n = v.rec_no group by rec_no, chrom, pos, ref, alt, dp")
+def query_format(spark, sf_dir):
+    from .plans.query_format import compile_format
+
+    return lens.variants(spark, sf_dir).select("rec_no", compile_format("%CHROM:%POS0 %REF>%ALT DP=%INFO/DP[ %SAMPLE=%GT(%DP)]").alias("value"))
+
+
+@query(f"{_V} select rec_no, s as sample, case when sdp < 5 and g < 4 then '.' when g = 0 then '0' when g = 1 then '0' when g = 2 then '1' else '.' end as first_allele from ({_LONG_GT})")
+def set_failed_genotypes(spark, sf_dir):
+    out = variants.set_genotypes(lens.variants(spark, sf_dir), lens.VCF_HEADER, exclude="FMT/DP<5")
+    return vcf.genotypes(out).select("rec_no", "sample", F.coalesce(F.get("gt.alleles", F.lit(0)).cast("string"), F.lit(".")).alias("first_allele"))
+
+
+@query(f"{_V} select rec_no from v where id is not null and alt not like '%,%' and filter in ('PASS', '.') and (case when g1 < 3 then 2 else 0 end + case when g2 < 3 then 2 else 0 end + case when g3 < 3 then 2 else 0 end) > 0 and (case g1 when 1 then 1 when 2 then 2 else 0 end + case g2 when 1 then 1 when 2 then 2 else 0 end + case g3 when 1 then 1 when 2 then 2 else 0 end) >= 2")
+def view_selectors(spark, sf_dir):
+    return variants.select(lens.variants(spark, sf_dir), lens.VCF_HEADER, known=True, max_alleles=2, filters=["PASS", "."], min_ac=2).select("rec_no")
+
+
+@query(f"{_V} select rec_no, row_number() over (order by chrom, pos, ref, rec_no) as rank from v")
+def variant_sort_rank(spark, sf_dir):
+    v = lens.variants(spark, sf_dir)
+    return v.select("rec_no", F.row_number().over(_all(F.col("rid").asc_nulls_last(), "chrom", "pos", "ref", F.array_join("alts", ","), "rec_no")).alias("rank"))
+
+
+@query(f"{_V} select count(*) as records, count(distinct rec_no) as places from (select rec_no from v where rec_no % 2 = 0 union select rec_no from v where rec_no % 3 = 0)")
+def concat_without_duplicates(spark, sf_dir):
+    v = lens.variants(spark, sf_dir)
+    return variants.concat([v.where("rec_no % 2 = 0"), v.where("rec_no % 3 = 0")], remove_duplicates="none").agg(F.count("*").alias("records"), F.countDistinct("rec_no").alias("places"))
+
+
+@query(f"{_V} select s as sample, sum(case when g < 3 then 1 else 0 end)::bigint as match, 0::bigint as mismatch from ({_LONG_GT}) group by s")
+def concordance(spark, sf_dir):
+    v = lens.variants(spark, sf_dir)
+    return variants.concordance(v, v).select("sample", "match", "mismatch")
+
+
+@query(f"{_V} select rec_no, case when g1 = 3 then null when g1 = 0 then 'HOM_RR' when g1 = 1 then 'HET_RA' else 'HOM_AA' end as class from v where g1 < 3")
+def genotype_classes(spark, sf_dir):
+    c = variants.genotype_class(F.get("samples", F.lit(0))["gt"])
+    return lens.variants(spark, sf_dir).select("rec_no", c.alias("class")).where(c != "UNKN")
+
+
+@query(f"{_V} select rec_no, pos + i as pos, substr(ref, cast(i + 1 as int), 1) as ref, substr(x, cast(i + 1 as int), 1) as alt from (select rec_no, pos, ref, x, unnest(range(length(ref))) as i from (select rec_no, pos, ref, unnest(string_split(alt, ',')) as x from v) where length(ref) = length(x)) where substr(ref, cast(i + 1 as int), 1) <> substr(x, cast(i + 1 as int), 1)")
+def atomize(spark, sf_dir):
+    return variants.atomize(lens.variants(spark, sf_dir)).where(F.length("ref") == F.length("alt")).select("rec_no", "pos", "ref", "alt")
+
+
+@query()
+def merge_samples(spark, sf_dir):
+    from .headers import VariantHeader
+
+    v = lens.variants(spark, sf_dir)
+    other = VariantHeader.from_text(str(lens.VCF_HEADER).replace("\ta\tb\tc", "\td\te\tf"))
+    renamed = v.withColumn("samples", F.transform("samples", lambda s: s.withField("name", F.translate(s["name"], "abc", "def"))))
+    merged = variants.merge([v.where("rec_no % 2 = 0"), renamed.where("rec_no % 3 = 0")], [lens.VCF_HEADER, other], {"DP": "sum"})
+    return merged.select("chrom", "pos", F.size("samples").alias("n_samples"), F.col("info")["DP"].alias("dp"))
+
+
+@query()
+def homozygous_runs(spark, sf_dir):
+    from .operators import models
+
+    return models.runs_of_homozygosity(models.dosages(lens.variants(spark, sf_dir)))
+
+
+@query()
+def hardy_weinberg(spark, sf_dir):
+    from .functions.numeric import hwe_test
+
+    g = lens.variants(spark, sf_dir).select("rec_no", F.transform("samples", lambda s: variants.genotype_class(s["gt"])).alias("c"))
+    n = lambda k: F.size(F.filter("c", lambda x: x == k))
+    return g.select("rec_no", F.round(hwe_test(n("HET_RA"), n("HOM_RR"), n("HOM_AA")), 6).alias("p"))
+
+
+@query(f"{_R} select cycle, sum(case when base = 'A' then 1 else 0 end)::bigint as a, sum(case when base = 'C' then 1 else 0 end)::bigint as c, count(*)::bigint as n from (select i as cycle, substr(case when flag & 16 > 0 then reverse(translate(seq, 'ACGT', 'TGCA')) else seq end, cast(i as int), 1) as base from (select *, unnest(range(1, qlen + 1)) as i from r where flag & 2304 = 0)) group by cycle")
+def bases_by_cycle(spark, sf_dir):
+    rows = depth.by_cycle(lens.reads(spark, sf_dir)).groupBy(F.col("cycle").cast("bigint").alias("cycle"))
+    return rows.agg(F.sum("a").alias("a"), F.sum("c").alias("c"), F.sum(F.col("a") + F.col("c") + F.col("g") + F.col("t")).alias("n"))
