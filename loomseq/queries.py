@@ -116,10 +116,10 @@ def overlap_bases(spark, sf_dir):
     return lens.reads(spark, sf_dir).select("rec_no", cigar.overlap(2000, 6000).alias("overlap"))
 
 
-@query(f"{_R} select rec_no, p_ as ref, query + i as query from {_BASES} where rname = 'chr4' and rec_no % 50 < 25")
-def aligned_pairs_explode(spark, sf_dir):
-    rows = lens.reads(spark, sf_dir).where("rname = 'chr4' and rec_no % 50 < 25").select("rec_no", F.explode(cigar.aligned_pairs(matches_only=True)).alias("p"))
-    return rows.select("rec_no", "p.ref", F.col("p.query").alias("query"))
+@query(f"{_R} select rec_no, count(*) as pairs, sum(p_)::bigint as refs, sum(query + i)::bigint as queries from {_BASES} group by rec_no")
+def aligned_pairs_sums(spark, sf_dir):
+    rows = lens.reads(spark, sf_dir).select("rec_no", F.explode(cigar.aligned_pairs(matches_only=True)).alias("p"))
+    return rows.groupBy("rec_no").agg(F.count("*").alias("pairs"), F.sum("p.ref").alias("refs"), F.sum("p.query").alias("queries"))
 
 
 @query(f"{_R} select k as shape, sum(case k when 1 then a + b when 3 then a + b - 2 when 2 then qlen - 3 when 4 then a + b else qlen end)::bigint as m, sum(case when k = 3 then 2 else 0 end)::bigint as i, sum(case when k = 1 then 2 else 0 end)::bigint as d, sum(case when k = 4 then 50 else 0 end)::bigint as n, sum(case when k = 2 then 3 else 0 end)::bigint as s, count(*) as reads from r group by k")
@@ -177,10 +177,10 @@ def interval_anti(spark, sf_dir):
     return regions.interval_join(lens.reads(spark, sf_dir), t.withColumnsRenamed({"start": "_s", "stop": "_e"}), ("rname", "pos", "end_pos"), ("contig", "_s", "_e"), "left_anti").select("qname", "pos", "flag")
 
 
-@query(f"{_R}, t as ({lens.REGIONS_SQL}) select region_id, qname, pos from r join t on t.contig = r.rname and pos < stop and pos + span > start where mapq >= 30")
+@query(f"{_R}, t as ({lens.REGIONS_SQL}) select region_id, qname, pos from r join t on t.contig = r.rname and pos < stop and pos + span > start")
 def interval_inner(spark, sf_dir):
     t = lens.targets(spark, sf_dir)
-    return regions.interval_join(lens.reads(spark, sf_dir).where("mapq >= 30"), t, ("rname", "pos", "end_pos"), ("contig", "start", "stop")).select("region_id", "qname", "pos")
+    return regions.interval_join(lens.reads(spark, sf_dir), t, ("rname", "pos", "end_pos"), ("contig", "start", "stop")).select("region_id", "qname", "pos")
 
 
 @query(f"""with t as ({lens.REGIONS_SQL}), m as (select *, max(stop) over (partition by contig order by start, stop rows between unbounded preceding and 1 preceding) as reach from t), g as (select *, sum(case when reach is null or start > reach then 1 else 0 end) over (partition by contig order by start, stop rows unbounded preceding) as island from m)
@@ -189,11 +189,11 @@ def region_merge_islands(spark, sf_dir):
     return regions.merge_intervals(lens.targets(spark, sf_dir))
 
 
-@query(f"""with t as ({lens.REGIONS_SQL}), e as (select distinct contig, unnest(range(start, stop)) as p from t), f as (select distinct contig, unnest(range(start + 250, stop + 250)) as p from t where region_id % 2 = 0)
+@query(f"""with t as ({lens.REGIONS_SQL}), e as (select distinct contig, unnest(range(start, stop)) as p from t), f as (select distinct contig, unnest(range(start + 250, stop + 250)) as p from t where score > 0)
 select contig, count(*) as bases from e anti join f using (contig, p) group by contig""")
 def region_subtract(spark, sf_dir):
     t = lens.targets(spark, sf_dir)
-    other = t.where("region_id % 2 = 0").withColumns({"start": F.col("start") + 250, "stop": F.col("stop") + 250})
+    other = t.where("score > 0").withColumns({"start": F.col("start") + 250, "stop": F.col("stop") + 250})
     return regions.subtract_intervals(t, other).groupBy("contig").agg(F.sum(F.col("stop") - F.col("start")).alias("bases"))
 
 
@@ -283,22 +283,23 @@ def subsample(spark, sf_dir):
     return reads.subsample(lens.reads(spark, sf_dir), 0.25, 7).groupBy("rname").agg(F.count("*").alias("n"))
 
 
-@query(f"{_R} select qname || chr(9) || flag || chr(9) || rname || chr(9) || (pos + 1) || chr(9) || mapq || chr(9) || cigar || chr(9) || 'chr' || (mate_tid + 1) || chr(9) || (mate_pos + 1) || chr(9) || tlen || chr(9) || seq || chr(9) || qual || chr(9) || 'RG:Z:' || rg || chr(9) || 'NM:i:' || nm as value from r where mate_tid <> tid")
+@query(f"{_R} select qname || chr(9) || flag || chr(9) || rname || chr(9) || (pos + 1) || chr(9) || mapq || chr(9) || cigar || chr(9) || case when mate_tid = tid then '=' else 'chr' || (mate_tid + 1) end || chr(9) || (mate_pos + 1) || chr(9) || tlen || chr(9) || seq || chr(9) || qual || chr(9) || 'RG:Z:' || rg || chr(9) || 'NM:i:' || nm as value from r")
 def sam_round_trip(spark, sf_dir):
-    return sam.lines(lens.reads(spark, sf_dir).where("mate_tid <> tid"))
+    return sam.lines(lens.reads(spark, sf_dir))
 
 
-@query(f"{_R} select rname, p_ as pos, count(*) as n, sum(case when q >= 13 then 1 else 0 end)::bigint as aligned from {_BASES} where rname = 'chr2' and p_ >= 500 and p_ < 2500 and {_GOOD} and k in (0, 2) and flag & 2 > 0 group by 1, 2")
+_GAPS = "(select rname, flag, unnest(range(pos + a, pos + a + case k when 1 then 2 else 50 end)) as p_ from r where k in (1, 4))"
+
+
+@query(f"{_R} select rname, p_ as pos, count(*) as n, sum(case when q is null or q >= 13 then 1 else 0 end)::bigint as aligned from (select rname, flag, p_, q from {_BASES} union all select rname, flag, p_, null from {_GAPS}) where {_GOOD} and flag & 2 > 0 group by 1, 2")
 def pileup_columns(spark, sf_dir):
-    rows = lens.reads(spark, sf_dir).where("not cigar rlike '[DIN]'")
-    bases = pileup.in_region(pileup.pileup_bases(rows, ignore_overlaps=False), regions.Region("chr2", 500, 2500))
+    bases = pileup.pileup_bases(lens.reads(spark, sf_dir), ignore_overlaps=False)
     return pileup.columns(bases).select("rname", "pos", "n", F.col("aligned").cast("bigint").alias("aligned"))
 
 
 @query()
 def mpileup_text(spark, sf_dir):
-    rows = lens.reads(spark, sf_dir).where("rname = 'chr2'")
-    return pileup.mpileup(pileup.pileup_bases(rows)).select("rname", "pos", "ref", "depth", "bases", "quals")
+    return pileup.mpileup(pileup.pileup_bases(lens.reads(spark, sf_dir))).select("rname", "pos", "ref", "depth", "bases", "quals")
 
 
 @query()
@@ -384,17 +385,19 @@ def snpgap_window(spark, sf_dir):
     return variants.snp_gap(lens.variants(spark, sf_dir), 10).where(F.array_contains("filters", "SnpGap")).select("rec_no")
 
 
-@query(f"{_V}, x as (select chrom, pos, ref, alt, 1 as f from v where rec_no % 2 = 0 union all select chrom, pos, ref, alt, 2 from v where rec_no % 3 = 0 union all select chrom, pos, ref, alt, 4 from v where qual > 100), k as (select chrom, pos, bit_or(f) as mask, bit_count(bit_or(f)) as n from x group by chrom, pos, ref, alt) select mask::bigint as mask, n::int as n_files, count(*) as records from k group by 1, 2")
+@query(f"{_V}, x as (select chrom, pos, ref, alt, 1 as f from v where qual > 150 union all select chrom, pos, ref, alt, 2 from v where db union all select chrom, pos, ref, alt, 4 from v where dp >= 20), k as (select chrom, pos, bit_or(f) as mask, bit_count(bit_or(f)) as n from x group by chrom, pos, ref, alt) select mask::bigint as mask, n::int as n_files, count(*) as records from k group by 1, 2")
 def isec_counts(spark, sf_dir):
     v = lens.variants(spark, sf_dir)
-    found = variants.intersect([v.where("rec_no % 2 = 0"), v.where("rec_no % 3 = 0"), v.where("qual > 100")])
+    known = F.map_contains_key("info", "DB")
+    found = variants.intersect([v.where("qual > 150"), v.where(known), v.where(vcf.info("DP", lens.VCF_HEADER) >= 20)])
     return found.groupBy("mask", F.col("n").alias("n_files")).agg(F.count("*").alias("records"))
 
 
-@query(f"{_V} select rec_no from v where rec_no % 2 = 0 and not (rec_no % 3 = 0)")
+@query(f"{_V} select rec_no from v where qual > 150 and not db")
 def isec_complement(spark, sf_dir):
     v = lens.variants(spark, sf_dir)
-    return variants.isec([v.where("rec_no % 2 = 0"), v.where("rec_no % 3 = 0")], complement=True).select("rec_no")
+    known = F.map_contains_key("info", "DB")
+    return variants.isec([v.where("qual > 150"), v.where(known)], complement=True).select("rec_no")
 
 
 @query(f"""{_V}, l as ({_LONG_GT}), ok as (select l.rec_no, s, g from l join v using (rec_no) where g < 3 and alt not like '%,%')
@@ -411,9 +414,9 @@ def multiallelic_split(spark, sf_dir):
     return out.join(many, out["rec_no"] == many["_n"], "left").select("rec_no", "pos", F.get("alts", F.lit(0)).alias("alt"), F.coalesce("_m", F.lit(False)).alias("was_multi"))
 
 
-@query(f"{_V} select chrom || chr(9) || pos || chr(9) || coalesce(id, '.') || chr(9) || ref || chr(9) || alt || chr(9) || filter as value, rec_no from v where db")
+@query(f"{_V} select chrom || chr(9) || pos || chr(9) || coalesce(id, '.') || chr(9) || ref || chr(9) || alt || chr(9) || filter as value, rec_no from v")
 def vcf_round_trip(spark, sf_dir):
-    v = lens.variants(spark, sf_dir).where(F.map_contains_key("info", "DB"))
+    v = lens.variants(spark, sf_dir)
     f = F.split("value", "\t")
     return vcf.lines(v, F.col("rec_no")).select(F.array_join(F.concat(F.slice(f, 1, 5), F.slice(f, 7, 1)), "\t").alias("value"), "rec_no")
 
@@ -461,10 +464,11 @@ def variant_sort_rank(spark, sf_dir):
     return v.select("rec_no", F.row_number().over(_all(F.col("rid").asc_nulls_last(), "chrom", "pos", "ref", F.array_join("alts", ","), "rec_no")).alias("rank"))
 
 
-@query(f"{_V} select count(*) as records, count(distinct rec_no) as places from (select rec_no from v where rec_no % 2 = 0 union select rec_no from v where rec_no % 3 = 0)")
+@query(f"{_V} select count(*) as records, count(distinct rec_no) as places from (select rec_no from v where qual > 150 union select rec_no from v where db)")
 def concat_without_duplicates(spark, sf_dir):
     v = lens.variants(spark, sf_dir)
-    return variants.concat([v.where("rec_no % 2 = 0"), v.where("rec_no % 3 = 0")], remove_duplicates="none").agg(F.count("*").alias("records"), F.countDistinct("rec_no").alias("places"))
+    known = F.map_contains_key("info", "DB")
+    return variants.concat([v.where("qual > 150"), v.where(known)], remove_duplicates="none").agg(F.count("*").alias("records"), F.countDistinct("rec_no").alias("places"))
 
 
 @query(f"{_V} select s as sample, sum(case when g < 3 then 1 else 0 end)::bigint as match, 0::bigint as mismatch from ({_LONG_GT}) group by s")
@@ -489,9 +493,10 @@ def merge_samples(spark, sf_dir):
     from .headers import VariantHeader
 
     v = lens.variants(spark, sf_dir)
+    known = F.map_contains_key("info", "DB")
     other = VariantHeader.from_text(str(lens.VCF_HEADER).replace("\ta\tb\tc", "\td\te\tf"))
     renamed = v.withColumn("samples", F.transform("samples", lambda s: s.withField("name", F.translate(s["name"], "abc", "def"))))
-    merged = variants.merge([v.where("rec_no % 2 = 0"), renamed.where("rec_no % 3 = 0")], [lens.VCF_HEADER, other], {"DP": "sum"})
+    merged = variants.merge([v.where("qual > 150"), renamed.where(known)], [lens.VCF_HEADER, other], {"DP": "sum"})
     return merged.select("chrom", "pos", F.size("samples").alias("n_samples"), F.col("info")["DP"].alias("dp"))
 
 
