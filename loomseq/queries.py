@@ -520,3 +520,54 @@ def hardy_weinberg(spark, sf_dir):
 def bases_by_cycle(spark, sf_dir):
     rows = depth.by_cycle(lens.reads(spark, sf_dir)).groupBy(F.col("cycle").cast("bigint").alias("cycle"))
     return rows.agg(F.sum("a").alias("a"), F.sum("c").alias("c"), F.sum(F.col("a") + F.col("c") + F.col("g") + F.col("t")).alias("n"))
+
+
+@query(f"{_R}, t as ({lens.REGIONS_SQL}), n as (select distinct qname from r where exists (select 1 from t where t.contig = r.rname and pos < stop and pos + span > start)) select qname, flag, pos from r where qname in (select qname from n)")
+def fetch_pairs(spark, sf_dir):
+    return reads.fetch_pairs(lens.reads(spark, sf_dir), lens.targets(spark, sf_dir)).select("qname", "flag", "pos")
+
+
+@query(f"{_R} select qname, flag, pos from r where not (flag & 3 = 3 and mapq >= 10 and qlen >= 20)")
+def view_complement(spark, sf_dir):
+    return reads.view(lens.reads(spark, sf_dir), require=3, min_mapq=10, min_qlen=20, invert=True).select("qname", "flag", "pos")
+
+
+@query(f"{_R} select (p_ // {-(-lens.CONTIG_LENGTH // 50)})::bigint as bin, count(distinct p_) as covered from {_BASES} where rname = 'chr1' and {_GOOD} group by 1")
+def coverage_histogram(spark, sf_dir):
+    return depth.coverage_histogram(lens.reads(spark, sf_dir), "chr1", lens.CONTIG_LENGTH).where("covered > 0").select("bin", "covered")
+
+
+@query(f"{_R}, d as (select rname, p_, count(*) as n from {_BASES} where {_GOOD} group by 1, 2) select c.rname, x.p as pos, coalesce(d.n, 0) as d0 from (select distinct rname from r) c, range(0, {lens.CONTIG_LENGTH}) x(p) left join d on d.rname = c.rname and d.p_ = x.p")
+def depth_all_positions(spark, sf_dir):
+    return depth.depth_table(lens.reads(spark, sf_dir), 1, lens.contigs(spark))
+
+
+@query(f"{_R} select rname, p_ as pos, count(*) as depth, round(sum(case when base = 'A' then log10(1 - pow(10, -least(greatest(q, 1), 60) / 10.0)) else log10(pow(10, -least(greatest(q, 1), 60) / 10.0) / 3) end), 3) + 0.0 as aa from {_BASES} where {_GOOD} and q >= 13 group by 1, 2")
+def genotype_likelihoods(spark, sf_dir):
+    from .operators import calls
+
+    out = calls.genotype_likelihoods(pileup.pileup_bases(lens.reads(spark, sf_dir), "all"))
+    return out.select("rname", "pos", "depth", (F.round("AA", 3) + F.lit(0.0)).alias("aa"))
+
+
+@query()
+def clip_primers(spark, sf_dir):
+    from .operators import calls
+
+    out = calls.clip_primers(lens.reads(spark, sf_dir), lens.targets(spark, sf_dir))
+    return out.groupBy((F.col("cigar").contains("S")).alias("clipped")).agg(F.count("*").alias("n"))
+
+
+@query(f"{_R} select flag, case when flag & 1 > 0 then 'PAIRED,' else '' end || case when flag & 2 > 0 then 'PROPER_PAIR,' else '' end || case when flag & 4 > 0 then 'UNMAP,' else '' end || case when flag & 8 > 0 then 'MUNMAP,' else '' end || case when flag & 16 > 0 then 'REVERSE,' else '' end || case when flag & 64 > 0 then 'READ1,' else '' end || case when flag & 128 > 0 then 'READ2,' else '' end || case when flag & 256 > 0 then 'SECONDARY,' else '' end || case when flag & 512 > 0 then 'QCFAIL,' else '' end || case when flag & 1024 > 0 then 'DUP,' else '' end as names from (select distinct flag from r)")
+def flag_names(spark, sf_dir):
+    return lens.reads(spark, sf_dir).select("flag").distinct().select("flag", F.concat(flags.names_column(), F.lit(",")).alias("names"))
+
+
+@query(f"{_R} select rec_no, case when k = 2 then pos - 3 else pos end as unclipped_start, pos + span as unclipped_end from r")
+def unclipped_ends(spark, sf_dir):
+    return lens.reads(spark, sf_dir).select("rec_no", cigar.unclipped_start().alias("unclipped_start"), cigar.unclipped_end().alias("unclipped_end"))
+
+
+@query(f"{_R}, m as (select *, flag & 192 as part from r where flag & 2304 = 0 and flag & 1 > 0) select a.rec_no, b.rec_no as mate_rec_no from m a join m b on a.qname = b.qname and a.part + b.part = 192 and a.part <> b.part")
+def mate_join(spark, sf_dir):
+    return reads.mates(lens.reads(spark, sf_dir)).select("rec_no", F.col("mate.rec_no").alias("mate_rec_no"))
