@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_name, materialise
+from .common import fresh_name, materialise, release
 from .components import connected_components
 
 SHINGLE_WORDS = 3
@@ -191,6 +191,7 @@ def family_groups(docs: DataFrame, words_each: int, radius: int, families: int,
         of_class = classes.select("class", F.get("fps", F.lit(f)).alias("fp"))
         nodes = materialise(of_class.groupBy("fp").agg(F.min("class").alias("class"), F.count("*").alias("n")), "nodes")
         links = materialise(fingerprint_links(nodes, radius), "links")
+        release(docs.sparkSession)  # of the index that this family shuffled
         lead = nodes.select(F.col("fp").alias("src"), F.col("class").alias("a")), nodes.select(F.col("fp").alias("dst"), F.col("class").alias("b"))
         near = links.join(lead[0], "src").join(lead[1], "dst").select(F.col("a").alias("src"), F.col("b").alias("dst"))
         shared = materialise(nodes.where("n > 1").select("fp", F.col("class").alias("src")), "shared")
