@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import shutil
 import tempfile
 import uuid
@@ -71,13 +70,3 @@ def fresh_name(df: DataFrame, base: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that nothing refers to any more.
-
-    It does so when the driver's JVM collects its garbage, which may be long
-    after a loop of jobs has filled the disks.
-    """
-    gc.collect()
-    spark._jvm.System.gc()
