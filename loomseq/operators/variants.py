@@ -313,48 +313,76 @@ def atomize(df: DataFrame) -> DataFrame:
 
 
 def left_align(df: DataFrame, ref_chunks: DataFrame, window: int = 1000) -> DataFrame:
-    """Adds norm_pos, norm_ref, norm_alts: indels trimmed and moved left over up to ``window`` bases of the reference, and ``ref_ok``.
+    """Adds norm_pos, norm_ref, norm_alts: indels trimmed and moved left as far as the reference lets them, and ``ref_ok``.
 
-    The reference before each record is joined by chunk; the move itself is a
-    loop over bases and runs in Arrow batches.
+    ``window`` bases of the reference before each record are joined by chunk;
+    the move itself is a loop over bases and runs in Arrow batches. Records that
+    reach the window's edge go on from there with a window of four times that,
+    until none does.
     """
+    from ..llm.common import materialise
+
+    keys = ["file_id", "rec_no"]
+    now = df.select(*keys, "chrom", "pos", "ref", "alts")
+    done = None
+    while True:
+        moved = materialise(_moved(now, ref_chunks, window), "left-aligned")
+        ended = moved.where("not _m.edge")
+        done = ended if done is None else done.unionByName(ended)
+        now = moved.where("_m.edge").select(*keys, "chrom", "_m.pos", "_m.ref", "_m.alts")
+        if now.isEmpty():
+            break
+        window *= 4
+    out = df.join(done.select(*keys, "_m"), keys)
+    return out.select(*df.columns, F.col("_m.pos").alias("norm_pos"), F.col("_m.ref").alias("norm_ref"), F.col("_m.alts").alias("norm_alts"), F.col("_m.ref_ok").alias("ref_ok"))
+
+
+def _moved(df: DataFrame, ref_chunks: DataFrame, window: int) -> DataFrame:
+    """(file_id, rec_no, chrom, _m): alleles moved left over up to ``window`` bases, and whether the window's edge stopped them."""
     from ..sources.fastx import CHUNK
 
-    @F.pandas_udf("pos bigint, ref string, alts array<string>, ref_ok boolean")
+    @F.pandas_udf("pos bigint, ref string, alts array<string>, ref_ok boolean, edge boolean")
     def moved(pos: pd.Series, ref: pd.Series, alts: pd.Series, before: pd.Series, at: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([shift_left(*v) for v in zip(pos, ref, alts, before, at)], columns=["pos", "ref", "alts", "ref_ok"])
+        return pd.DataFrame([_shift_left(*v) for v in zip(pos, ref, alts, before, at)], columns=["pos", "ref", "alts", "ref_ok", "edge"])
 
-    low = F.greatest(F.col("start") - window, F.lit(0))
-    need = df.withColumn("_low", low).withColumn("_high", F.col("start") + F.length("ref"))
-    chunks = need.select("*", F.explode(F.expr(f"sequence(cast(_low as bigint) div {CHUNK}, (_high - 1) div {CHUNK})")).alias("_chunk"))
+    start = F.col("pos") - 1
+    need = df.withColumn("_low", F.greatest(start - window, F.lit(0))).withColumn("_high", start + F.length("ref"))
+    chunks = need.select("file_id", "rec_no", "chrom", "_low", "_high", F.explode(F.expr(f"sequence(cast(_low as bigint) div {CHUNK}, (_high - 1) div {CHUNK})")).alias("_chunk"))
     joined = chunks.join(ref_chunks.select(F.col("contig").alias("chrom"), F.col("chunk").alias("_chunk"), F.col("seq").alias("_seq")), ["chrom", "_chunk"], "left")
     part = F.expr(f"substring(coalesce(_seq, ''), cast(greatest(_low - _chunk * {CHUNK}, 0) + 1 as int), cast(least(_high - _chunk * {CHUNK}, {CHUNK}) - greatest(_low - _chunk * {CHUNK}, 0) as int))")
     keys = ["file_id", "rec_no"]
     around = joined.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_chunk", part.alias("s")))), lambda x: x["s"]), "").alias("_around"), F.first("_low").alias("_at"))
-    out = df.join(around, keys).withColumn("_m", moved("pos", "ref", "alts", "_around", "_at"))
-    return out.select(*df.columns, F.col("_m.pos").alias("norm_pos"), F.col("_m.ref").alias("norm_ref"), F.col("_m.alts").alias("norm_alts"), F.col("_m.ref_ok").alias("ref_ok"))
+    return df.join(around, keys).select(*keys, "chrom", moved("pos", "ref", "alts", "_around", "_at").alias("_m"))
 
 
 def shift_left(pos: int, ref: str, alts, around: str, at: int) -> tuple:
     """(pos, ref, alts, ref_ok): alleles trimmed on the right, extended on the left, then trimmed on the left."""
+    return _shift_left(pos, ref, alts, around, at)[:4]
+
+
+def _shift_left(pos: int, ref: str, alts, around: str, at: int) -> tuple:
+    """As ``shift_left``, and whether alleles that could move on, or might, stand at ``at`` where the contig goes on."""
     start = pos - 1
     here = around[start - at : start - at + len(ref)].upper()
     ok = here == ref.upper()
     alleles = [ref, *(list(alts) if alts is not None else [])]
     if not ok or len(alleles) < 2 or any(not a or set(a.upper()) - set("ACGTN") for a in alleles):
-        return pos, ref, alleles[1:], ok
-    while True:
-        if len({a[-1].upper() for a in alleles}) == 1 and all(alleles) and (min(map(len, alleles)) > 1 or start > at):
-            if min(map(len, alleles)) == 1:
-                start -= 1
-                alleles = [around[start - at] + a for a in alleles]
-            alleles = [a[:-1] for a in alleles]
-        else:
-            break
+        return pos, ref, alleles[1:], ok, False
+    if any(a.upper() == ref.upper() for a in alleles[1:]):
+        return pos, ref, alleles[1:], ok, False  # would move for ever
+    while len({a[-1].upper() for a in alleles}) == 1:
+        if min(map(len, alleles)) == 1:
+            if start <= at:
+                if at > 0:
+                    return start + 1, alleles[0], alleles[1:], ok, True
+                break
+            start -= 1
+            alleles = [around[start - at] + a for a in alleles]
+        alleles = [a[:-1] for a in alleles]
     while min(map(len, alleles)) > 1 and len({a[0].upper() for a in alleles}) == 1:
         alleles = [a[1:] for a in alleles]
         start += 1
-    return start + 1, alleles[0], alleles[1:], ok
+    return start + 1, alleles[0], alleles[1:], ok, False
 
 
 def merge(tables: list[DataFrame], headers: list[VariantHeader], info_rules: dict[str, str] | None = None, missing_to_ref: bool = False) -> DataFrame:

@@ -212,6 +212,15 @@ def test_left_alignment_over_a_reference(spark):
     assert got == {8: (3, "GCA", ["G"], True), 4: (4, "C", ["T"], True)}
 
 
+def test_left_alignment_through_a_repeat_longer_than_the_window(spark):
+    seq = "GGT" + "CA" * 3000 + "GGG"
+    chunks = fastx.chunked(spark.createDataFrame([("20", None, seq, None)], "name string, comment string, seq string, qual string"))
+    df = table(spark, ["20\t5902\t.\tCAC\tC\t1\t.\t.", "20\t2004\t.\tCAC\tC\t1\t.\t.", "20\t304\t.\tC\tCAC\t1\t.\t.", "20\t5904\t.\tC\tC\t1\t.\t."])
+    df = df.withColumn("rec_no", F.col("pos")).where("pos <> 5902").unionByName(df.where("pos = 5902").withColumn("pos", F.lit(5904).cast("long")).withColumn("start", F.lit(5903).cast("long")).withColumn("rec_no", F.lit(1).cast("long")))
+    got = {(r.pos, r.alts[0]) if len(r.ref) == 1 else r.pos: (r.norm_pos, r.norm_ref, r.norm_alts, r.ref_ok) for r in variants.left_align(df, chunks).collect()}
+    assert got == {5904: (3, "TCA", ["T"], True), 2004: (3, "TCA", ["T"], True), (304, "CAC"): (3, "T", ["TCA"], True), (5904, "C"): (5904, "C", ["C"], True)}
+
+
 def test_annotation(sites, spark):
     source = table(spark, ["20\t100\tnew\tG\tA\t1\t.\tAA=Q;DP=99\tGT\t0/0\t0/0\t0/0"])
     got = {r.rec_no: r for r in variants.annotate_from_variants(sites, source, ["AA"], copy_id=True, mark="+SEEN").collect()}
