@@ -204,15 +204,19 @@ def family_groups(docs: DataFrame, words_each: int, radius: int, families: int,
     return found.select("doc_id", "class").join(named, "class").select("doc_id", "component_id")
 
 
-def keep_one(docs: DataFrame, words_each: int = SHINGLE_WORDS, radius: int = RADIUS, families: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the document of the smallest id of each group; of rows that repeat an id and a text, one.
+def drop_copies(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` without the rows that ``groups`` (doc_id, component_id) names as copies of a smaller id; of rows that repeat an id and a text, one.
 
     Rows without an id cannot be named as anyone's copy and stay.
     """
-    groups = materialise(family_groups(docs, words_each, radius, families, id_col, text_col), "groups")
+    row = fresh_name(docs, "row")
     gone = groups.where("component_id is not null and doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
     kept = docs.join(gone, id_col, "left_anti").select(*docs.columns)
     if groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        row = fresh_name(docs, "row")
         kept = kept.withColumn(row, F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())).dropDuplicates([id_col, text_col, row]).drop(row)
     return kept
+
+
+def keep_one(docs: DataFrame, words_each: int = SHINGLE_WORDS, radius: int = RADIUS, families: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the document of the smallest id of each group; see ``drop_copies``."""
+    return drop_copies(docs, materialise(family_groups(docs, words_each, radius, families, id_col, text_col), "groups"), id_col, text_col)

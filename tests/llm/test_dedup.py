@@ -193,3 +193,43 @@ def test_blocks_of_a_long_text_find_the_same_places(monkeypatch):
 def test_united_runs():
     a, b = united(np.array([5, 0, 20, 8]), np.array([10, 3, 30, 12]))
     assert list(zip(a.tolist(), b.tolist())) == [(0, 3), (5, 12), (20, 30)]
+
+
+def test_similar_groups_are_those_of_exact_jaccard(spark, nasty, empty, monkeypatch):
+    from loomseq.llm import jaccard
+
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 8)))
+    footer, texts = [word() for _ in range(12)], []
+    for size in (8, 20, 40, 60, 100, 250):
+        for _ in range(4):
+            base = [word() for _ in range(size)] + footer
+            texts.append(base)
+            for changes in (1, 1, 2, 3, 4):
+                copy = list(rng.choice(texts[-3:]))
+                for _ in range(changes):
+                    copy[rng.randrange(len(copy))] = word()
+                texts.append(copy)
+    rng.shuffle(texts)
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    brute = {i: find(i) for i in range(len(texts))}
+    assert 30 < len(set(brute.values())) < len(texts) - 30
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    monkeypatch.setattr(jaccard, "SAMPLE", 2)
+    monkeypatch.setattr(jaccard, "WORTH", 0)
+    assert {r.doc_id: r.component_id for r in jaccard.similar_groups(df).collect()} == brute
+    kept = jaccard.keep_one_similar(nasty)
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 2, 5, 7, 8] and kept.columns == nasty.columns
+    assert jaccard.keep_one_similar(empty).count() == 0
