@@ -22,7 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Sentences of public licences and notices, normalised, by identifier.
+# Sentences of public licences and notices, normalised, by identifier. None spans a place where texts
+# are cut; where only the layout decides (a blank line around a URL, none in comments), each reading has its own.
 SENTENCES = {
     "mit-notice": "released under the mit license",
     "mit-notice-2": "licensed under the mit license",
@@ -31,12 +32,18 @@ SENTENCES = {
     "mit-keep": "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
     "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
     "apache-notice": "licensed under the apache license version 2 0",
-    "apache-grant": "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license",
-    "apache-copy": "you may obtain a copy of the license at http www apache org licenses license 2 0",
+    "apache-grant": "licensed under the apache license version 2 0 the license",
+    "apache-use": "you may not use this file except in compliance with the license",
+    "apache-copy": "you may obtain a copy of the license at",
+    "apache-url": "http www apache org licenses license 2 0",
+    "apache-copy-url": "you may obtain a copy of the license at http www apache org licenses license 2 0",
+    "apache-copy-as-is": "you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
     "apache-as-is": "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
     "gpl3-notice": "this work is licensed under the gnu general public license version 3",
-    "gpl-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
-    "gpl-hope": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "gpl-free": "this program is free software",
+    "gpl-terms": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "gpl-hope": "this program is distributed in the hope that it will be useful but without any warranty",
+    "gpl-merchant": "without even the implied warranty of merchantability or fitness for a particular purpose",
     "bsd-terms": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "bsd-source": "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
     "bsd-binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
@@ -52,9 +59,11 @@ RULES = [
     ("mit-text", "MIT", ["mit-grant", "mit-keep"]),
     ("isc-text", "ISC", ["isc-grant"]),
     ("apache-short", "Apache-2.0", ["apache-notice"]),
-    ("apache-header", "Apache-2.0", ["apache-grant", "apache-copy", "apache-as-is"]),
+    ("apache-header", "Apache-2.0", ["apache-grant", "apache-use", "apache-copy", "apache-url", "apache-as-is"]),
+    ("apache-header-2", "Apache-2.0", ["apache-grant", "apache-use", "apache-copy-url", "apache-as-is"]),
+    ("apache-header-3", "Apache-2.0", ["apache-grant", "apache-use", "apache-copy-as-is"]),
     ("gpl3-short", "GPL-3.0", ["gpl3-notice"]),
-    ("gpl3-header", "GPL-3.0-or-later", ["gpl-free", "gpl-hope"]),
+    ("gpl3-header", "GPL-3.0-or-later", ["gpl-free", "gpl-terms", "gpl-hope", "gpl-merchant"]),
     ("bsd-text", "BSD-2-Clause", ["bsd-terms", "bsd-source", "bsd-binary"]),
     ("cc-by-nc-short", "CC-BY-NC-4.0", ["cc-by-nc-notice"]),
     ("cc-by-nc-long", "CC-BY-NC-4.0", ["cc-by-nc-long"]),

@@ -107,6 +107,67 @@ def test_licence_sql_agrees(spark, nasty, empty):
     assert license_scan(nasty).count() == 0 and license_scan(empty).count() == 0
 
 
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL3 = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+VERBATIM = [
+    ("apache-header", APACHE), ("gpl3-header", GPL3), ("isc-text", ISC), ("bsd-text", BSD), ("mit-text", LICENCE_TEXTS[2][1]),
+    ("mit-short", "Released under the MIT License."), ("mit-short-2", "Licensed under the MIT License."),
+    ("apache-short", "Licensed under the Apache License, Version 2.0."), ("gpl3-short", "This work is licensed under the GNU General Public License, version 3."),
+    ("cc-by-nc-short", "Licensed under CC BY-NC 4.0."), ("cc-by-nc-long", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("cc-by-short", "Licensed under CC BY 4.0."), ("cc-by-long", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+]
+
+
+def test_every_licence_rule_on_its_verbatim_text(spark):
+    layouts = {
+        "wrapped": lambda t: t,
+        "paragraphs": lambda t: "\n\n".join(" ".join(p.split()) for p in t.split("\n\n")),
+        "one line": lambda t: " ".join(t.split()),
+        "comment": lambda t: "".join(f"# {line}".rstrip() + "\n" for line in t.splitlines()),
+        "url in its paragraph": lambda t: t.replace("at\n\n", "at\n"),
+    }
+    run_on = {("apache-header", "one line"): "apache-header-3", ("apache-header", "comment"): "apache-header-3", ("apache-header", "url in its paragraph"): "apache-header-2"}
+    rows = [(i * 10 + j, how(text), run_on.get((rule, name), rule)) for i, (rule, text) in enumerate(VERBATIM) for j, (name, how) in enumerate(layouts.items())]
+    assert {r[2] for r in rows} == {r[0] for r in licenses.RULES}
+    documents = [(i, t) for i, t, _ in rows]
+    got = sorted(tuple(r) for r in license_scan(spark.createDataFrame(documents, "doc_id long, text string")).collect())
+    assert [(r[0], r[1], r[3]) for r in got] == [(i, rule, 1) for i, _, rule in rows]
+
+
 def brute_leaks(docs, items, least=0.8):
     out = {}
     for key, text in docs:
