@@ -170,7 +170,7 @@ class WarcReader(DataSourceReader):
     def pushFilters(self, filters):
         for f in filters:
             column = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
-            known = column in FIELDS and column != "payload"
+            known = column in FIELDS and column not in ("payload", "payload_bytes")  # both come after the record's own header
             if known and isinstance(f, EqualTo):
                 self.tests.append((column, "in", frozenset([f.value])))
             elif known and isinstance(f, In):

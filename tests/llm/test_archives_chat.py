@@ -44,6 +44,15 @@ def test_pushed_predicates_and_skipped_payloads(spark, archive):
     assert spark.read.format("warc").load(archive).where("target_uri like 'http://c%' and record_type in ('response')").count() == 1
 
 
+@pytest.mark.parametrize("payloads", ["true", "false"])
+def test_a_read_filtered_by_payload_bytes(spark, archive, payloads):
+    read = spark.read.format("warc").option("payloads", payloads).load(archive)
+    assert read.where("payload_bytes = 10").count() == 3
+    assert read.where("payload_bytes in (0, 10)").count() == 5
+    assert read.where("payload_bytes > 100 and record_type = 'response'").count() == 1
+    assert read.where("payload_bytes is not null").count() == len(PAGES)
+
+
 def test_reader_tests_headers_before_payloads(spark, archive, monkeypatch):
     from pyspark.sql.datasource import EqualTo
 
