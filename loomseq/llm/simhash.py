@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_name, materialise
+from .common import fresh_name, materialise, text_or_empty
 from .components import connected_components
 
 SHINGLE_WORDS = 3
@@ -168,7 +168,7 @@ def near_duplicates(docs: DataFrame, words_each: int = SHINGLE_WORDS, radius: in
 
 
 def family_groups(docs: DataFrame, words_each: int, radius: int, families: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, component_id) where documents are linked that any of several independent fingerprints links.
+    """(doc_id, th, component_id), th being XXH64 of the text, where documents are linked that any of several independent fingerprints links.
 
     A document's class is the hash of all its fingerprints. Classes meet where
     they share a fingerprint, and fingerprints where they are within the radius;
@@ -181,10 +181,10 @@ def family_groups(docs: DataFrame, words_each: int, radius: int, families: int,
             for t in batch.column(1):
                 hashes = shingle_hashes(t.as_py() or "", words_each)
                 rows.append([majority(family_of(hashes, f)) for f in range(families)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int64()))], names=["doc_id", "fps"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(rows, pa.list_(pa.int64()))], names=["doc_id", "th", "fps"])
 
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    found = materialise(source.mapInArrow(run, "doc_id long, fps array<long>").withColumn("class", F.xxhash64("fps")), "fingerprints")
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_or_empty(text_col)).alias("th"))
+    found = materialise(source.mapInArrow(run, "doc_id long, th long, fps array<long>").withColumn("class", F.xxhash64("fps")), "fingerprints")
     classes = materialise(found.groupBy("class").agg(F.min("doc_id").alias("least"), F.first("fps").alias("fps")), "classes")
     edges = None
     for f in range(families):
@@ -201,17 +201,18 @@ def family_groups(docs: DataFrame, words_each: int, radius: int, families: int,
     of_group = members.groupBy("component").agg(F.min("least").alias("of_group"))
     linked = materialise(members.join(of_group, "component").select(F.col("node").alias("class"), "of_group"), "linked")
     named = materialise(classes.select("class", "least").join(linked, "class", "left").select("class", F.coalesce("of_group", "least").alias("component_id")), "named")
-    return found.select("doc_id", "class").join(named, "class").select("doc_id", "component_id")
+    return found.select("doc_id", "th", "class").join(named, "class").select("doc_id", "th", "component_id")
 
 
 def drop_copies(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` without the rows that ``groups`` (doc_id, component_id) names as copies of a smaller id; of rows that repeat an id and a text, one.
+    """``docs`` without the rows that ``groups`` (doc_id, th, component_id) names as copies of a smaller id; of rows that repeat an id and a text, one.
 
-    Rows without an id cannot be named as anyone's copy and stay.
+    A copy goes by its id and its text (th, XXH64), so that another text under
+    the same id stays. Rows without an id cannot be named as anyone's copy and stay.
     """
-    row = fresh_name(docs, "row")
-    gone = groups.where("component_id is not null and doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    kept = docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    th, row = fresh_name(docs, "th"), fresh_name(docs, "row")
+    gone = groups.where("component_id is not null and doc_id <> component_id").select(F.col("doc_id").alias(id_col), F.col("th").alias(th)).distinct()
+    kept = docs.withColumn(th, F.xxhash64(text_or_empty(text_col))).join(gone, [id_col, th], "left_anti").select(*docs.columns)
     if groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
         kept = kept.withColumn(row, F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())).dropDuplicates([id_col, text_col, row]).drop(row)
     return kept

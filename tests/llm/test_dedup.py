@@ -233,3 +233,9 @@ def test_similar_groups_are_those_of_exact_jaccard(spark, nasty, empty, monkeypa
     kept = jaccard.keep_one_similar(nasty)
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 2, 5, 7, 8] and kept.columns == nasty.columns
     assert jaccard.keep_one_similar(empty).count() == 0
+
+
+def test_another_text_under_the_id_of_a_copy_stays(spark):
+    rows = [(1, "a b c d e f g"), (5, "a b c d e f g"), (5, "quite other words that stand alone here")]
+    kept = keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [rows[0], rows[2]]
