@@ -79,10 +79,10 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page's labelled outcome is that of the document of the same id: bad if of low quality or toxic."""
+    """A page's labelled outcome is that of the document of the same id: bad if of low quality or toxic. Labels that lack one of the two do not count."""
     from .url_filter import judge_urls
 
-    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad")).where("bad is not null")
+    labels = table(spark, sf_dir, "labels").where("quality is not null and toxic is not null").select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
     return judge_urls(table(spark, sf_dir, "pages"), labels).drop("bad_bound")
 
 

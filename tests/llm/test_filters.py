@@ -280,3 +280,19 @@ def test_bad_hosts_are_blocked_and_good_ones_shrink_towards_their_domain(spark):
     got = {r.host: r for r in host_reputation(hosts, spark.createDataFrame(labelled, "host string, n double, bad double")).collect()}
     assert got["bad.com"].bad_bound > 0.5 > got["h1.good.com"].bad_mean
     assert got["new.good.com"].bad_mean < got["new.org"].bad_mean
+
+
+def test_half_filled_labels_do_not_count(spark, tmp_path):
+    import pandas as pd
+    from loomseq.llm.queries import op9_url_filters
+
+    pages = pd.DataFrame([(i, f"http://h{i % 2}.test/") for i in range(40)], columns=["page_id", "url"])
+    # h0: half-filled bad ones and whole good ones; h1: whole bad ones and half-filled good ones.
+    half = {0: [(0, None), (None, 1), (1, 0)], 1: [(0, 0), (1, None), (None, 0)]}
+    labels = [(i, *half[i % 2][i // 2 % 3]) for i in range(40)]
+    spark.createDataFrame(list(pages.itertuples(index=False, name=None)), "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    labels = duckdb.sql(f"select * from read_parquet('{tmp_path}/labels.parquet/*.parquet')")  # noqa: F841  read by DuckDB
+    got = sorted((tuple(r) for r in op9_url_filters(spark, str(tmp_path)).collect()))
+    assert got == sorted(duckdb.sql(url_filter.oracle_sql()).fetchall())
+    assert {(r[1], r[4]) for r in got} == {("h0.test", "allow"), ("h1.test", "block")}
