@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import gc
+import re
 import shutil
 import tempfile
 import uuid
@@ -19,13 +21,15 @@ _own_folder: str | None = None
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    A cluster names it in ``spark.checkpoint.dir``. Where that is unset, as in
-    tests on one machine, a temporary folder takes its place until the
-    interpreter exits.
+    A cluster names it in ``spark.checkpoint.dir``. Where that is unset and
+    driver and executors are one process, as in tests, a temporary folder takes
+    its place until the interpreter exits; elsewhere its lack is an error.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     global _own_folder
     if _own_folder is None:
         _own_folder = tempfile.mkdtemp(prefix="loomseq-")
@@ -38,16 +42,53 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write_once(df: DataFrame, path: str) -> None:
+    """Write ``df`` as Parquet; the shuffle files it took go as soon as it stands."""
+    conf = df.sparkSession.conf
+    before = conf.get(_RELEASE)
+    conf.set(_RELEASE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_RELEASE, before)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once into the shared folder and read it back.
 
     Cuts the lineage in a place that outlives any executor, computes the rows
     exactly once, and gives the optimizer the true size of what follows.
     """
-    spark = df.sparkSession
-    path = shared_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = shared_path(df.sparkSession, name)
+    write_once(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Tables of one computation in the shared folder, which go when they have been read for the last time."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = shared_path(self.spark, name)
+        write_once(df, path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (path, out)
+        return out
+
+    def release(self, *tables: DataFrame) -> None:
+        for t in tables:
+            delete(self.spark, self.paths.pop(id(t))[0])
+
+    def close(self) -> None:
+        """Remove all that is left, and have Spark let go of shuffles that nothing refers to any more."""
+        self.release(*(t for _, t in list(self.paths.values())))
+        gc.collect()
+        self.spark._jvm.System.gc()
 
 
 def delete(spark: SparkSession, path: str) -> None:

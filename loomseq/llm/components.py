@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import delete, shared_path
+from .common import Scratch, materialise
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -17,13 +17,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     split by adaptive execution. Self loops keep lone nodes; an empty edge list
     gives no rows.
     """
-    spark = edges.sparkSession
-    written: list[str] = []
+    scratch = Scratch(edges.sparkSession)
 
     def keep(df: DataFrame) -> DataFrame:
-        written.append(shared_path(spark, "edges"))
-        df.write.parquet(written[-1])
-        return spark.read.schema("u long, v long").parquet(written[-1])
+        return scratch.keep(df.select("u", "v"), "edges")
 
     def star(side: DataFrame, larger: bool) -> DataFrame:
         """Points a node's neighbours (larger ones, or smaller ones and itself) to its smallest neighbour."""
@@ -50,10 +47,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if after == before:
             break
         before = after
+        scratch.release(*(t for _, t in list(scratch.paths.values()) if t is not nodes and t is not now))
     roots = nodes.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    out = roots.join(now.select(F.col("u").alias("node"), F.col("v").alias("component")), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-    path = shared_path(spark, "components")
-    out.write.parquet(path)
-    for p in written:
-        delete(spark, p)
-    return spark.read.schema("node long, component long").parquet(path)
+    out = materialise(roots.join(now.select(F.col("u").alias("node"), F.col("v").alias("component")), "node", "left").select("node", F.coalesce("component", "node").alias("component")), "components")
+    scratch.close()
+    return out

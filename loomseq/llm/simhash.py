@@ -25,30 +25,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_name, materialise, text_or_empty
+from .common import Scratch, fresh_name, materialise, text_or_empty
 from .components import connected_components
+from .jaccard import similar_groups
+from .shingles import shingle_hashes
 
 SHINGLE_WORDS = 3
 RADIUS = 3
-SEED = 42
-
-
-def shingle_hashes(text: str, words_each: int = SHINGLE_WORDS) -> np.ndarray:
-    """XXH64 of each space-joined shingle of the text's words, A-Z lower-cased."""
-    words = text.encode("utf-8", "replace").lower().split()
-    n = len(words)
-    if n == 0:
-        return np.zeros(0, np.uint64)
-    joined, digest = b" ".join(words), xxhash.xxh64_intdigest
-    if n <= words_each:
-        return np.array([digest(joined, SEED)], np.uint64)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1)
-    starts = [0, *ends[: n - words_each].tolist()]
-    return np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, (ends[words_each - 1 :] - 1).tolist())), np.uint64, n - words_each + 1)
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -60,30 +46,20 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * votes > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-def family_of(hashes: np.ndarray, family: int) -> np.ndarray:
-    """Hashes that are independent of those of other families; family 0 has them as they are."""
-    if not family:
-        return hashes
-    x = hashes + np.uint64(family * 0x9E3779B97F4A7C15 % (1 << 64))
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    return x ^ (x >> np.uint64(31))
-
-
 def fingerprint(text: str, words_each: int = SHINGLE_WORDS) -> int:
     """The 64-bit fingerprint as a signed integer."""
     return majority(shingle_hashes(text, words_each))
 
 
 def fingerprints(docs: DataFrame, words_each: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp long), one row per row of ``docs``."""
+    """(doc_id, th, fp long), one row per row of ``docs``; th is XXH64 of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(t.as_py() or "", words_each) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            fps = [fingerprint(t.as_py() or "", words_each) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64())], names=["doc_id", "th", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_or_empty(text_col)).alias("th"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, th long, fp long")
 
 
 def linked_sets(fps: np.ndarray, radius: int) -> Iterator[np.ndarray]:
@@ -156,7 +132,7 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words_each: int = SHINGLE_WORDS, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, fp, component_id (the smallest doc_id reachable, itself included)."""
+    """One row per document: doc_id, th (XXH64 of the text), fp, component_id (the smallest doc_id reachable, itself included)."""
     found = materialise(fingerprints(docs, words_each, id_col, text_col), "fingerprints")
     nodes = materialise(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     groups = connected_components(fingerprint_links(nodes, radius))
@@ -164,44 +140,7 @@ def near_duplicates(docs: DataFrame, words_each: int = SHINGLE_WORDS, radius: in
     least = members.groupBy("component").agg(F.min("least").alias("of_group"))
     linked = materialise(members.join(least, "component").select("fp", "of_group"), "linked")
     named = materialise(nodes.join(linked, "fp", "left").select("fp", F.coalesce("of_group", "least").alias("component_id")), "named")
-    return found.join(named, "fp").select("doc_id", "fp", "component_id")
-
-
-def family_groups(docs: DataFrame, words_each: int, radius: int, families: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, th, component_id), th being XXH64 of the text, where documents are linked that any of several independent fingerprints links.
-
-    A document's class is the hash of all its fingerprints. Classes meet where
-    they share a fingerprint, and fingerprints where they are within the radius;
-    only classes and fingerprints that meet another enter the components.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for t in batch.column(1):
-                hashes = shingle_hashes(t.as_py() or "", words_each)
-                rows.append([majority(family_of(hashes, f)) for f in range(families)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(rows, pa.list_(pa.int64()))], names=["doc_id", "th", "fps"])
-
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_or_empty(text_col)).alias("th"))
-    found = materialise(source.mapInArrow(run, "doc_id long, th long, fps array<long>").withColumn("class", F.xxhash64("fps")), "fingerprints")
-    classes = materialise(found.groupBy("class").agg(F.min("doc_id").alias("least"), F.first("fps").alias("fps")), "classes")
-    edges = None
-    for f in range(families):
-        of_class = classes.select("class", F.get("fps", F.lit(f)).alias("fp"))
-        nodes = materialise(of_class.groupBy("fp").agg(F.min("class").alias("class"), F.count("*").alias("n")), "nodes")
-        links = materialise(fingerprint_links(nodes, radius), "links")
-        lead = nodes.select(F.col("fp").alias("src"), F.col("class").alias("a")), nodes.select(F.col("fp").alias("dst"), F.col("class").alias("b"))
-        near = links.join(lead[0], "src").join(lead[1], "dst").select(F.col("a").alias("src"), F.col("b").alias("dst"))
-        shared = materialise(nodes.where("n > 1").select("fp", F.col("class").alias("src")), "shared")
-        same = of_class.join(shared, "fp").where("src <> class").select("src", F.col("class").alias("dst"))
-        edges = near.unionByName(same) if edges is None else edges.unionByName(near).unionByName(same)
-    groups = connected_components(edges)
-    members = groups.join(classes.select(F.col("class").alias("node"), "least"), "node")
-    of_group = members.groupBy("component").agg(F.min("least").alias("of_group"))
-    linked = materialise(members.join(of_group, "component").select(F.col("node").alias("class"), "of_group"), "linked")
-    named = materialise(classes.select("class", "least").join(linked, "class", "left").select("class", F.coalesce("of_group", "least").alias("component_id")), "named")
-    return found.select("doc_id", "th", "class").join(named, "class").select("doc_id", "th", "component_id")
+    return found.join(named, "fp").select("doc_id", "th", "fp", "component_id")
 
 
 def drop_copies(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -211,13 +150,26 @@ def drop_copies(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str)
     the same id stays. Rows without an id cannot be named as anyone's copy and stay.
     """
     th, row = fresh_name(docs, "th"), fresh_name(docs, "row")
-    gone = groups.where("component_id is not null and doc_id <> component_id").select(F.col("doc_id").alias(id_col), F.col("th").alias(th)).distinct()
+    scratch = Scratch(docs.sparkSession)
+    groups = scratch.keep(groups.where("doc_id is not null").select("doc_id", "th", "component_id"), "groups")
+    gone = materialise(groups.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col), F.col("th").alias(th)).distinct(), "gone")
+    repeated = groups.groupBy("doc_id").count().where("count > 1").limit(1).count()
+    scratch.close()
     kept = docs.withColumn(th, F.xxhash64(text_or_empty(text_col))).join(gone, [id_col, th], "left_anti").select(*docs.columns)
-    if groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
+    if repeated:
         kept = kept.withColumn(row, F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())).dropDuplicates([id_col, text_col, row]).drop(row)
     return kept
 
 
-def keep_one(docs: DataFrame, words_each: int = SHINGLE_WORDS, radius: int = RADIUS, families: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the document of the smallest id of each group; see ``drop_copies``."""
-    return drop_copies(docs, materialise(family_groups(docs, words_each, radius, families, id_col, text_col), "groups"), id_col, text_col)
+def keep_one(docs: DataFrame, words_each: int = SHINGLE_WORDS, radius: int = RADIUS, similarity: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the document of the smallest id of each group; see ``drop_copies``.
+
+    Groups are those of fingerprints within ``radius`` or, with ``similarity``,
+    of a Jaccard similarity of 0.8 or more between shingle sets, which no radius
+    that can be indexed reaches (``jaccard``).
+    """
+    if similarity:
+        groups = similar_groups(docs, words_each, id_col, text_col)
+    else:
+        groups = near_duplicates(docs, words_each, radius, id_col, text_col)
+    return drop_copies(docs, groups, id_col, text_col)

@@ -4,10 +4,11 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from loomseq.llm.components import connected_components
-from loomseq.llm.simhash import family_groups, keep_one, linked_sets, near_duplicates
+from loomseq.llm.simhash import keep_one, linked_sets, near_duplicates
 from loomseq.llm.suffix_dedup import cut_repeats, dedup_report, places, united
 
 
@@ -79,14 +80,6 @@ def test_keep_one_keeps_the_smallest(spark, nasty, empty):
     assert sorted(r.text for r in again.collect()) == ["a b c d e f", "other words altogether here"]
 
 
-def test_one_family_links_as_the_fingerprint_does(spark):
-    df = spark.createDataFrame(near_texts(7), "doc_id long, text string")
-    one = {r.doc_id: r.component_id for r in near_duplicates(df).collect()}
-    assert {r.doc_id: r.component_id for r in family_groups(df, 3, 3, 1).collect()} == one
-    many = {r.doc_id: r.component_id for r in family_groups(df, 3, 3, 4).collect()}
-    assert all(many[many[i]] == many[i] for i in many) and len(set(many.values())) <= len(set(one.values()))
-
-
 def test_linked_sets_find_chains():
     fps = np.array([0, 0b111, 0b111111, 0xFFFF << 40], np.int64)
     assert [sorted(s.tolist()) for s in linked_sets(fps, 3)] == [[0, 7, 63]]
@@ -230,12 +223,39 @@ def test_similar_groups_are_those_of_exact_jaccard(spark, nasty, empty, monkeypa
     monkeypatch.setattr(jaccard, "SAMPLE", 2)
     monkeypatch.setattr(jaccard, "WORTH", 0)
     assert {r.doc_id: r.component_id for r in jaccard.similar_groups(df).collect()} == brute
-    kept = jaccard.keep_one_similar(nasty)
+    kept = keep_one(nasty, 5, similarity=True)
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 2, 5, 7, 8] and kept.columns == nasty.columns
-    assert jaccard.keep_one_similar(empty).count() == 0
+    assert keep_one(empty, 5, similarity=True).count() == 0
 
 
 def test_another_text_under_the_id_of_a_copy_stays(spark):
     rows = [(1, "a b c d e f g"), (5, "a b c d e f g"), (5, "quite other words that stand alone here")]
     kept = keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == [rows[0], rows[2]]
+
+
+def test_sketches_never_differ_by_more_than_the_sets():
+    from loomseq.llm.jaccard import parity_sketch, sketch_distance
+
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 5, 64, 65, 300, 5000):
+        for m in (0, 1, 60, 130, 4000):
+            both = rng.integers(0, 1 << 63, min(n, m) * 9 // 10, np.uint64)
+            a, b = (np.unique(np.r_[both, rng.integers(0, 1 << 63, k - len(both), np.uint64)]) for k in (n, m))
+            assert sketch_distance(parity_sketch(a), parity_sketch(b)) <= len(np.setxor1d(a, b))
+            assert sketch_distance(parity_sketch(a), parity_sketch(a)) == 0
+
+
+def test_stars_across_batches():
+    from loomseq.llm.jaccard import _stars
+
+    rng = np.random.default_rng(4)
+    rows = sorted((int(k), int(c)) for k, c in zip(rng.integers(0, 12, 300), rng.integers(0, 40, 300)))
+    names = ["key", "class", "n", "pos"]
+    for size in (1, 2, 3, 7, 300):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*((k, c, c, 0) for k, c in rows[i : i + size])), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=names) for i in range(0, 300, size)]
+        got = [(r["key"], r["class"], r["lead"], r["lead_n"]) for b in _stars(iter(batches)) for r in b.to_pylist()]
+        least = {}
+        for k, c in rows:
+            least.setdefault(k, c)
+        assert got == [(k, c, least[k], least[k]) for k, c in sorted(set(rows)) if c != least[k]]
