@@ -23,8 +23,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         return scratch.keep(df.select("u", "v"), "edges")
 
     def star(side: DataFrame, larger: bool) -> DataFrame:
-        """Points a node's neighbours (larger ones, or smaller ones and itself) to its smallest neighbour."""
-        side = keep(side)
+        """Points a node's neighbours (larger ones, or smaller ones and itself) to its smallest neighbour. ``side`` is read from written tables."""
         least = keep(side.groupBy("u").agg(F.min("v").alias("v"))).select("u", F.least("u", "v").alias("m"))
         joined = side.join(least, "u")
         if larger:
@@ -36,8 +35,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     def state(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first())
 
-    nodes = keep(edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).distinct())
-    now = keep(nodes.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    nodes = keep(edges.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct())
+    now = nodes.where("u <> v")
     before = state(now)
     while before[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
