@@ -1,24 +1,36 @@
 """Benchmark decontamination: item-sized windows of documents that are near copies of benchmark items.
 
 For a benchmark item of L words every window of L words of a document counts.
-A window can only reach the similarity asked for if it shares a shingle with
-the item, so windows are laid where a shingle of the document meets one of an
-item: the join of the two gives the window's start (one row for each run of
-matches that an item and a document share in step). Each window and item gets a
-64-bit SimHash of its shingles; fingerprints within ``radius`` bits agree in at
-least one of ``radius`` + 1 blocks, on which windows and their items are joined
-by equality; those within the radius are verified by the exact weighted Jaccard
-similarity of the shingles, where a shingle weighs as often as it occurs.
+Each gets a 64-bit SimHash of its shingles, as each item has; fingerprints
+within ``radius`` bits agree in at least one of ``radius`` + 1 blocks, on which
+windows and items of one length are joined by equality, and all pairs within
+the radius are verified by the exact weighted Jaccard similarity of the
+shingles, where a shingle weighs as often as it occurs.
+
+Two things spare most windows their fingerprint, and neither loses a match. A
+window and an item, of m and n shingles, can only reach the similarity s with
+at least s (m + n) / (1 + s) shingles in common; so places whose shingle is one
+of any item's are marked first, and windows with fewer marked places are left
+out - whatever item they may resemble and in whatever order its words come. And
+of windows that slide over one another only those count that begin at a marked
+place, and the document's last: sliding on from an unmarked place gives no
+shared shingle away.
 
 The whole path is DataFrame functions. Documents are not shuffled: positions
 are generated, hashed and held against the items' shingles in one stage of
-generated code, with the shingles broadcast if they number no more than
-``BROADCAST_SHINGLES`` (about 100 bytes each) and joined by shuffle otherwise.
+generated code, with the distinct shingles broadcast if they number no more
+than ``BROADCAST_SHINGLES`` (about 30 bytes each) and joined by shuffle
+otherwise; the same holds for the documents with enough marked places, whose
+words are read again.
+
+The radius of 24 is five standard deviations beyond the distance that a
+similarity of 0.8 gives (9.7 of 64 bits, deviation 2.9).
 
 Words are lower-cased and separated by ASCII white space; shingles have five
-words, or all of an item with fewer. Defined results: null and empty texts
-match nothing; rows that share an id are matched on their own and reported
-under it; a null id is kept.
+words, or all of an item with fewer; a document of fewer words than an item is
+one window. Defined results: null and empty texts match nothing; rows that
+share an id are matched on their own and reported under it; rows that repeat an
+id and a text are reported once; a null id is kept.
 """
 
 from __future__ import annotations
@@ -26,12 +38,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, materialise
+from .common import ASCII_SPACE, Scratch, materialise
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 RADIUS = 24
 BROADCAST_SHINGLES = 1_000_000
+BROADCAST_DOCUMENTS = 100_000
 
 
 def words_of(text: Column) -> Column:
@@ -66,55 +79,79 @@ def weighted_jaccard(a: Column, b: Column) -> Column:
     return shared / (F.size(a) + F.size(b) - shared)
 
 
+def _within(small: DataFrame, most: int) -> DataFrame:
+    """A written table, to be broadcast if it has no more than ``most`` rows."""
+    return F.broadcast(small) if small.limit(most + 1).count() <= most else small
+
+
+def _starts(at: str, last: str, n: str, least: str) -> Column:
+    """Starts of windows of ``n`` shingles with ``least`` marked places or more: marked places up to ``last``, and ``last``."""
+    marked = f"transform(filter(sequence(0, size({at}) - {least}), i -> {at}[i] <= {last} and {at}[i + {least} - 1] < {at}[i] + {n}), i -> {at}[i])"
+    final = f"if(size(filter({at}, p -> p >= {last})) >= {least}, array({last}), array())"
+    return F.expr(f"if(size({at}) >= {least}, array_distinct(concat({marked}, {final})), array())")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per document and item that it holds a near copy of: doc_id, of_text (xxhash64 of the text), item_id, n_windows, start_word, similarity (of the best window)."""
+    scratch = Scratch(docs.sparkSession)
     items = benchmark.select(F.col(item_col).alias("item_id"), words_of(F.col(item_text_col)).alias("item_words")).where(F.size("item_words") > 0).distinct()
-    items = items.withColumn("k", F.least(F.size("item_words"), F.lit(SHINGLE_WORDS)))
+    items = items.withColumn("length", F.size("item_words")).withColumn("k", F.least("length", F.lit(SHINGLE_WORDS)))
     items = items.withColumn("item_shingles", shingles_of(F.col("item_words"), F.col("k"))).withColumn("item_fp", simhash_of(F.col("item_shingles")))
-    items = materialise(items.withColumn("number", F.monotonically_increasing_id()), "items")
-
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("of_text"), words_of(F.col(text_col)).alias("words"))
-    windows = None
-    for k in range(1, SHINGLE_WORDS + 1):
-        of_size = items.where(F.col("k") == k)
-        at = of_size.select("number", "item_words", F.explode(F.sequence(F.lit(0), F.size("item_words") - k)).alias("q"))
-        wanted = at.select("number", F.size("item_words").alias("length"), "q", _hash(F.col("item_words"), F.col("q"), k).alias("h"), F.when(F.col("q") > 0, _hash(F.col("item_words"), F.col("q") - 1, k)).alias("h_before"))
-        n = wanted.count()
-        if not n:
-            continue
-        placed = source.where(F.size("words") >= k).select("doc_id", "of_text", "words", F.explode(F.sequence(F.lit(0), F.size("words") - k)).alias("p"))
-        placed = placed.withColumn("h", _hash(F.col("words"), F.col("p"), k))
-        met = placed.join(F.broadcast(wanted) if n <= BROADCAST_SHINGLES else wanted, "h")
-        # Within a run of matches in step only the first lays a window; the others would lay the same.
-        met = met.where(F.col("h_before").isNull() | (F.col("p") == 0) | (_hash(F.col("words"), F.col("p") - 1, k) != F.col("h_before")))
-        start = F.greatest(F.least(F.col("p") - F.col("q"), F.size("words") - F.col("length")), F.lit(0))
-        found = met.select("doc_id", "of_text", "number", start.alias("start_word"), F.slice("words", start + 1, F.col("length")).alias("window"), F.lit(k).alias("k"))
-        windows = found if windows is None else windows.unionByName(found)
-    if windows is None:
-        return source.where("false").select("doc_id", "of_text", F.lit(None).cast(benchmark.schema[item_col].dataType).alias("item_id"), F.lit(0).cast("long").alias("n_windows"), F.lit(0).alias("start_word"), F.lit(0.0).alias("similarity"))
-
-    windows = windows.distinct().withColumn("shingles", shingles_of(F.col("window"), F.col("k")))
-    windows = materialise(windows.select("doc_id", "of_text", "number", "start_word", "shingles", simhash_of(F.col("shingles")).alias("fp")), "windows")
+    items = scratch.keep(items.withColumn("number", F.monotonically_increasing_id()), "items")
+
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("of_text"), text.alias("text"))
+    split = source.select("doc_id", "of_text", words_of(F.col("text")).alias("words"))
+    marked = None
+    for k in [r.k for r in items.select("k").distinct().collect()]:  # 1 to 5
+        at = items.where(F.col("k") == k).select("item_words", F.explode(F.sequence(F.lit(0), F.size("item_words") - k)).alias("q"))
+        wanted = scratch.keep(at.select(_hash(F.col("item_words"), F.col("q"), k).alias("h")).distinct(), "shingles")
+        placed = split.where(F.size("words") >= k).select("doc_id", "of_text", "words", F.size("words").alias("n_words"), F.explode(F.sequence(F.lit(0), F.size("words") - k)).alias("p"))
+        placed = placed.select("doc_id", "of_text", "n_words", "p", _hash(F.col("words"), F.col("p"), k).alias("h"))
+        met = placed.join(_within(wanted, BROADCAST_SHINGLES), "h").select("doc_id", "of_text", "n_words", F.lit(k).alias("k"), "p")
+        marked = met if marked is None else marked.unionByName(met)
+    if marked is None:
+        return source.select("doc_id", "of_text", F.lit(None).cast(benchmark.schema[item_col].dataType).alias("item_id"), F.lit(0).cast("long").alias("n_windows"), F.lit(0).alias("start_word"), F.lit(0.0).alias("similarity")).where("false")
+
+    lengths = items.select("k", "length", (F.col("length") - F.col("k") + 1).alias("n")).distinct()
+    at = marked.groupBy("doc_id", "of_text", "k").agg(F.first("n_words").alias("n_words"), F.sort_array(F.collect_set("p")).alias("at"))
+    per_length = at.join(lengths, "k").withColumn("last", F.greatest(F.col("n_words") - F.col("length"), F.lit(0)))
+    size = F.least(F.col("n"), F.col("n_words") - F.col("k") + 1)
+    per_length = per_length.withColumn("least", F.greatest(F.ceil(F.lit(similarity) * (size + F.col("n")) / F.lit(1 + similarity) - 1e-9).cast("int"), F.lit(1)))
+    placed = per_length.select("doc_id", "of_text", "k", "length", _starts("at", "last", "n", "least").alias("starts")).where(F.size("starts") > 0)
+    placed = scratch.keep(placed.groupBy("doc_id", "of_text").agg(F.collect_list(F.struct("k", "length", "starts")).alias("lengths")), "placed")
+
+    wanted = _within(placed.withColumnsRenamed({"doc_id": "w_id", "of_text": "w_text"}), BROADCAST_DOCUMENTS)
+    again = source.join(wanted, F.expr("doc_id <=> w_id and of_text = w_text")).select("doc_id", "of_text", words_of(F.col("text")).alias("words"), "lengths")
+    windows = again.select("doc_id", "of_text", "words", F.explode("lengths").alias("l")).select("doc_id", "of_text", "words", "l.k", "l.length", F.explode("l.starts").alias("start_word"))
+    windows = windows.select("doc_id", "of_text", "length", "start_word", shingles_of(F.slice("words", F.col("start_word") + 1, F.col("length")), F.col("k")).alias("shingles"))
+    windows = windows.dropDuplicates(["doc_id", "of_text", "length", "start_word"])
+    windows = scratch.keep(windows.withColumn("fp", simhash_of(F.col("shingles"))).withColumn("window", F.monotonically_increasing_id()), "windows")
 
     blocks = radius + 1
     edges = [64 * b // blocks for b in range(blocks + 1)]
-
-    def block_keys(fp: Column) -> Column:
-        keys = [F.shiftrightunsigned(fp, edges[b]).bitwiseAND(F.lit((1 << (edges[b + 1] - edges[b])) - 1)) * blocks + b for b in range(blocks)]
-        return F.explode(F.array(*keys))
-
-    left = windows.withColumn("block", block_keys(F.col("fp")))
-    right = items.select("number", "item_id", "item_fp", "item_shingles", block_keys(F.col("item_fp")).alias("block"))
-    near = left.select("doc_id", "of_text", "number", "start_word", "fp", "block").join(right.select("number", "item_fp", "block"), ["number", "block"])
-    near = near.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius).select("doc_id", "of_text", "number", "start_word").distinct()
-    pairs = windows.join(near.withColumnsRenamed({c: f"n_{c}" for c in near.columns}), F.expr("doc_id <=> n_doc_id and of_text = n_of_text and number = n_number and start_word = n_start_word")).select("doc_id", "of_text", "number", "start_word", "shingles")
-    scored = pairs.join(items.select("number", "item_id", "item_shingles"), "number").withColumn("similarity", weighted_jaccard(F.col("shingles"), F.col("item_shingles")))
+    masks = [((1 << edges[b + 1]) - (1 << edges[b])) for b in range(blocks)]
+    signed = lambda mask: F.lit(mask - (1 << 64) if mask >> 63 else mask)
+
+    def in_blocks(fp: str) -> Column:
+        return F.explode(F.array(*(F.struct(F.lit(b).alias("block"), F.col(fp).bitwiseAND(signed(m)).alias("bits")) for b, m in enumerate(masks)))).alias("b")
+
+    left = windows.select("window", "length", "fp", in_blocks("fp")).select("window", "length", "fp", "b.block", "b.bits")
+    right = items.select("number", "length", "item_fp", in_blocks("item_fp")).select("number", "length", "item_fp", "b.block", "b.bits")
+    met = left.join(right, ["length", "block", "bits"])
+    apart = F.col("fp").bitwiseXOR(F.col("item_fp"))
+    first = F.coalesce(*(F.when(apart.bitwiseAND(signed(m)) == 0, F.lit(b)) for b, m in enumerate(masks)))  # of the blocks that agree only the first tells the pair
+    near = met.where((F.bit_count(apart) <= radius) & (F.col("block") == first)).select("window", "number")
+    pairs = windows.join(near, "window").join(items.select("number", "item_id", "item_shingles"), "number")
+    scored = pairs.withColumn("similarity", weighted_jaccard(F.col("shingles"), F.col("item_shingles"))).where(F.col("similarity") >= similarity)
     best = F.min_by(F.col("start_word"), F.struct(-F.col("similarity"), F.col("start_word")))
-    return scored.where(F.col("similarity") >= similarity).groupBy("doc_id", "of_text", "item_id").agg(F.count("*").alias("n_windows"), best.alias("start_word"), F.max("similarity").alias("similarity"))
+    out = materialise(scored.groupBy("doc_id", "of_text", "item_id").agg(F.count("*").alias("n_windows"), best.alias("start_word"), F.max("similarity").alias("similarity")), "leaks")
+    scratch.close()
+    return out
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs``, all columns, without the documents that hold a near copy of an item."""
-    found = materialise(leaks(docs, benchmark, id_col=id_col, text_col=text_col, **options).select("doc_id", "of_text").distinct(), "leaks")
+    found = leaks(docs, benchmark, id_col=id_col, text_col=text_col, **options).select("doc_id", "of_text").distinct()
     same = F.col(f"d.{id_col}").cast("long").eqNullSafe(F.col("l.doc_id")) & (F.xxhash64(F.coalesce(F.col(f"d.{text_col}"), F.lit(""))) == F.col("l.of_text"))
     return docs.alias("d").join(found.alias("l"), same, "left_anti").select(*docs.columns)
