@@ -7,10 +7,11 @@ files of failed attempts are not in it and are never read.
 
 Reading: one partition per file. Of each record only the first bytes are
 inflated; record type and headers are parsed and held against the predicates
-pushed down. Where they fail, or payloads are not asked for, the rest of the
-member is stepped over undecoded. Foreign archives work too: members without
-the length subfield are inflated through, and plain ``.warc`` files are
-stepped over by Content-Length.
+pushed down. Where they fail, or payloads are not asked for, the reader seeks
+behind the member without reading or decoding the rest. Foreign archives work
+too: the end of a member without the length subfield is found by inflating it
+piece by piece, of which nothing is kept, and plain ``.warc`` files are stepped
+over by Content-Length.
 
 Paths are URIs that ``pyarrow.fs`` opens (file, hdfs, s3, gs ...).
 
@@ -43,6 +44,8 @@ FIELDS = [f.split()[0] for f in SCHEMA.split(", ")]
 _ARROW = pa.schema([(n, {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}[t]) for n, t in (f.split() for f in SCHEMA.split(", "))])
 FILE_BYTES = 64 << 20
 BATCH_BYTES = 4 << 20
+#: Bytes read from a file at a time; members that end within them cost no seek.
+READ_BYTES = 1 << 18
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -137,16 +140,17 @@ class WarcFile(InputPartition):
 
 
 class _Bytes:
-    """Buffered forward reading that can step over bytes without keeping them."""
+    """Buffered reading of a file that can go to any place without reading what lies between."""
 
     def __init__(self, stream):
-        self.stream, self.data, self.at = stream, b"", 0
+        self.stream, self.data, self.at, self.base = stream, b"", 0, 0
 
     def need(self, n: int) -> bool:
         while len(self.data) - self.at < n:
-            more = self.stream.read(max(1 << 20, n))
+            more = self.stream.read(max(READ_BYTES, n))
             if not more:
                 return False
+            self.base += self.at
             self.data, self.at = self.data[self.at :] + more, 0
         return True
 
@@ -156,10 +160,50 @@ class _Bytes:
         self.at += len(out)
         return out
 
-    def skip(self, n: int) -> None:
-        while n > 0 and self.need(1):
-            step = min(n, len(self.data) - self.at)
-            self.at, n = self.at + step, n - step
+    def tell(self) -> int:
+        return self.base + self.at
+
+    def seek(self, place: int) -> None:
+        if self.base <= place <= self.base + len(self.data):
+            self.at = place - self.base
+        else:
+            self.stream.seek(place)
+            self.data, self.at, self.base = b"", 0, place
+
+
+class _Inflated:
+    """The deflated stream that starts where ``source`` stands, inflated as far as it is asked for."""
+
+    def __init__(self, source: _Bytes):
+        self.source, self.inflate, self.out, self.pending = source, zlib.decompressobj(-15), b"", b""
+
+    def _more(self, most: int) -> bytes:
+        if not self.pending and self.source.need(1):
+            self.pending = self.source.take(min(1 << 14, len(self.source.data) - self.source.at))
+        if not self.pending:
+            raise ValueError("a gzip member ends before its data does")
+        out = self.inflate.decompress(self.pending, most)
+        self.pending = self.inflate.unconsumed_tail
+        return out
+
+    def until(self, mark: bytes, start: int = 0) -> int:
+        """The place behind the first ``mark`` from ``start`` on, or of the end where there is none."""
+        while (at := self.out.find(mark, max(start, 0))) < 0 and not self.inflate.eof:
+            self.out += self._more(4096)
+        return at + len(mark) if at >= 0 else len(self.out)
+
+    def whole(self) -> bytes:
+        parts = [self.out]
+        while not self.inflate.eof:
+            parts.append(self._more(1 << 20))
+        self.out = b"".join(parts)
+        return self.out
+
+    def finish(self) -> None:
+        """Leave ``source`` behind the data; what was not asked for is not kept."""
+        while not self.inflate.eof:
+            self._more(1 << 16)
+        self.source.seek(self.source.tell() - len(self.inflate.unused_data))
 
 
 class WarcReader(DataSourceReader):
@@ -203,7 +247,7 @@ class WarcReader(DataSourceReader):
             return
         fs, folder = _open_fs(self.path)
         rows, size = [], 0
-        with fs.open_input_stream(f"{folder}/{partition.name}", compression=None) as stream:
+        with fs.open_input_file(f"{folder}/{partition.name}") as stream:
             source = _Bytes(stream)
             for row in (self._members if partition.name.endswith(".gz") else self._plain)(source):
                 rows.append(row)
@@ -216,49 +260,36 @@ class WarcReader(DataSourceReader):
 
     def _members(self, source: _Bytes):
         while source.need(18):
+            start = source.tell()
             head = source.take(10)
             if head[:2] != b"\x1f\x8b":
                 raise ValueError("no gzip member where one should start")
-            left = None
+            end = None
             if head[3] & 4:
                 extra = source.take(struct.unpack("<H", source.take(2))[0])
                 if extra[:2] == b"sl":
-                    left = struct.unpack("<I", extra[4:8])[0] - 12 - len(extra)
+                    end = start + struct.unpack("<I", extra[4:8])[0]
             for flag in (8, 16):
                 if head[3] & flag:
                     while source.take(1) not in (b"\0", b""):
                         pass
-            if left is None:
-                yield from self._through(source)
-                continue
-            data = source.take(left)
-            inflate = zlib.decompressobj(-15)
-            text = inflate.decompress(data, 2048)
-            while b"\r\n\r\n" not in text and not inflate.eof:
-                text += inflate.decompress(inflate.unconsumed_tail, 4096)
-            row, at = self._parse(text)
-            if not self._wanted(row):
-                continue
-            if self.payloads and row["record_type"] != "revisit" or b"\r\n\r\n" not in text[at:]:
-                text += inflate.decompress(inflate.unconsumed_tail)
-                self._payload(row, text, at)
+            if head[3] & 2:
+                source.take(2)
+            body = _Inflated(source)
+            body.until(b"\r\n\r\n")
+            row, at = self._parse(body.out)
+            if self._wanted(row):
+                if self.payloads and row["record_type"] != "revisit":
+                    self._payload(row, body.whole(), at)
+                else:
+                    body.until(b"\r\n\r\n", at)
+                    self._http(row, body.out, at)
+                yield row
+            if end is None:
+                body.finish()
+                source.seek(source.tell() + 8)
             else:
-                self._http(row, text, at)
-            yield row
-
-    def _through(self, source: _Bytes):
-        """A member without its length: inflated to its end."""
-        inflate, parts = zlib.decompressobj(-15), []
-        while not inflate.eof and source.need(1):
-            chunk, source.at = source.data[source.at :], len(source.data)
-            parts.append(inflate.decompress(chunk))
-        source.data, source.at = inflate.unused_data, 0
-        source.skip(8)
-        text = b"".join(parts)
-        row, at = self._parse(text)
-        if self._wanted(row):
-            self._payload(row, text, at)
-            yield row
+                source.seek(end)
 
     def _plain(self, source: _Bytes):
         while source.need(4):
@@ -267,15 +298,20 @@ class WarcReader(DataSourceReader):
                 if not source.need(n):
                     return
                 n *= 2
+            start = source.tell()
             text = source.take(end + 4 - source.at)
             row, at = self._parse(text)
-            if not self._wanted(row):
-                source.skip(row["_length"] + 4)
-                continue
-            text += source.take(row["_length"])
-            source.skip(4)
-            self._payload(row, text, at)
-            yield row
+            end = start + at + row["_length"] + 4
+            if self._wanted(row):
+                if self.payloads and row["record_type"] != "revisit":
+                    self._payload(row, text + source.take(row["_length"]), at)
+                else:
+                    n = 1 << 12
+                    while b"\r\n\r\n" not in (block := source.data[source.at : source.at + min(n, row["_length"])]) and n < row["_length"] and source.need(min(2 * n, row["_length"])):
+                        n *= 2
+                    self._http(row, text + block, at)
+                yield row
+            source.seek(end)
 
     def _parse(self, text: bytes) -> tuple[dict, int]:
         head, _, _ = text.partition(b"\r\n\r\n")
