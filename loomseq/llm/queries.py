@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import licenses, url_filter
-from .common import shared_path, table
+from .common import shared_folder, shared_path, table
 
 
 def vocabulary() -> str:
@@ -31,9 +31,10 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cache stays in the shared folder: a later call encodes only texts that no earlier one has seen."""
     from .token_counts import token_counts
 
-    counts = token_counts(table(spark, sf_dir, "documents"), vocabulary(), shared_path(spark, "token-cache"))
+    counts = token_counts(table(spark, sf_dir, "documents"), vocabulary(), f"{shared_folder(spark)}/token-cache")
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
