@@ -74,6 +74,37 @@ def test_foreign_archives(spark, tmp_path):
     assert sorted((r.record_id, len(r.payload)) for r in got.collect()) == sorted([(f"<urn:{i}>", i) for i in range(4)] * 2)
 
 
+@pytest.mark.parametrize("foreign", [False, True])
+def test_unwanted_payloads_are_neither_kept_nor_decoded(tmp_path, monkeypatch, foreign):
+    from pyspark.sql.datasource import EqualTo
+
+    rng = random.Random(1)
+    kinds = ["response", "revisit", "request"]
+    rows = [dict(zip(warc.FIELDS, (f"<urn:{i}>", kinds[i % 3], "http://x/", None, None, None, None, rng.randbytes(400_000 if i % 3 == 0 else 10)))) for i in range(12)]
+    data = b"".join((gzip.compress if foreign else warc.member)(warc.record_bytes(r)) for r in rows)
+    (tmp_path / "a.warc.gz").write_bytes(data)
+    (tmp_path / "b.warc").write_bytes(b"".join(map(warc.record_bytes, rows)))
+    inflated, most = [], []
+    more = warc._Inflated._more
+    monkeypatch.setattr(warc._Inflated, "_more", lambda self, n: inflated.append(more(self, n)) or most.append(len(self.out)) or inflated[-1])
+    reader = warc.WarcReader(str(tmp_path), True, True)
+    assert not list(reader.pushFilters([EqualTo(("record_type",), "request")]))
+    got = [r for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()]
+    assert sorted((r["record_id"], bytes(r["payload"])) for r in got) == sorted((r["record_id"], r["payload"]) for r in rows[2::3] * 2)
+    assert max(most) < 20_000
+    assert foreign or sum(map(len, inflated)) < 200_000
+
+
+def test_clashing_columns_and_long_payloads(spark, tmp_path):
+    warc.register(spark)
+    pages = spark.createDataFrame([(1, "http://a/", "x" * 3_000_000, "p", 5, "s"), (2, "http://b/", "x" * 3_000_000, None, 6, "t")], "page_id long, url string, html string, payload string, id int, sha string")
+    path = f"file://{tmp_path}/long"
+    warc.dedup_records(pages).write.format("warc").mode("append").save(path)
+    got = {r.record_type: r for r in spark.read.format("warc").load(path).collect()}
+    assert bytes(got["response"].payload) == b"x" * 3_000_000 and got["response"].record_id == "<urn:page:2>"
+    assert (got["revisit"].payload_bytes, got["revisit"].refers_to) == (3_000_000, "<urn:page:2>")
+
+
 def test_empty_pages(spark, tmp_path):
     warc.register(spark)
     path = f"file://{tmp_path}/none"

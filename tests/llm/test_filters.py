@@ -143,11 +143,75 @@ modification, are permitted provided that the following conditions are met:
    this list of conditions and the following disclaimer in the documentation
    and/or other materials provided with the distribution.
 """
+BSD3 = BSD + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+GPL2 = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+GPL2_ONLY = GPL2.replace("""General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.""", """General Public License version 2 as
+published by the Free Software Foundation.""")
+AGPL3 = GPL3.replace("GNU General", "GNU Affero General")
+LGPL2 = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+
+This library is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY.
+"""
+LGPL3 = """This library is free software: you can redistribute it and/or modify
+it under the terms of the GNU Lesser General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+"""
+MPL2 = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/.
+"""
+EPL2 = """This program and the accompanying materials are made
+available under the terms of the Eclipse Public License 2.0
+which is available at https://www.eclipse.org/legal/epl-2.0/
+"""
+UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software, either in source code form or as a compiled
+binary, for any purpose, commercial or non-commercial, and by any
+means.
+"""
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+"""
+CC0 = """To the extent possible under law, the author(s) have dedicated all
+copyright and related and neighboring rights to this software to the public
+domain worldwide. This software is distributed without any warranty.
+"""
 VERBATIM = [
     ("apache-header", APACHE), ("gpl3-header", GPL3), ("isc-text", ISC), ("bsd-text", BSD), ("mit-text", LICENCE_TEXTS[2][1]),
     ("mit-short", "Released under the MIT License."), ("mit-short-2", "Licensed under the MIT License."),
     ("apache-short", "Licensed under the Apache License, Version 2.0."), ("gpl3-short", "This work is licensed under the GNU General Public License, version 3."),
     ("cc-by-nc-short", "Licensed under CC BY-NC 4.0."), ("cc-by-nc-long", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("bsd-3-text", BSD3), ("gpl2-header", GPL2), ("gpl2-only-header", GPL2_ONLY), ("agpl3-header", AGPL3), ("lgpl2-header", LGPL2), ("lgpl3-header", LGPL3), ("mpl2-header", MPL2), ("mpl2-header-2", MPL2.replace("http:", "https:")),
+    ("epl2-header", EPL2), ("unlicense-text", UNLICENSE), ("zlib-text", ZLIB), ("cc0-notice", CC0), ("boost-header", "Distributed under the Boost Software License, Version 1.0."), ("mit-title", "The MIT License (MIT)"),
+    ("cc-by-sa-short", "Licensed under CC BY-SA 4.0."), ("cc-by-sa-long", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    *((rule, f"SPDX-License-Identifier: {name}") for rule, name in (("spdx-mit", "MIT"), ("spdx-apache", "Apache-2.0"), ("spdx-bsd-2", "BSD-2-Clause"), ("spdx-bsd-3", "BSD-3-Clause"), ("spdx-gpl-2-only", "GPL-2.0-only"), ("spdx-gpl-2", "GPL-2.0-or-later"), ("spdx-gpl-3", "GPL-3.0-or-later"), ("spdx-lgpl-2-1", "LGPL-2.1-or-later"), ("spdx-agpl-3", "AGPL-3.0-or-later"), ("spdx-mpl", "MPL-2.0"), ("spdx-isc", "ISC"), ("spdx-cc0", "CC0-1.0"))),
     ("cc-by-short", "Licensed under CC BY 4.0."), ("cc-by-long", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
 ]
 
@@ -213,10 +277,54 @@ def test_leaks_are_those_of_all_windows(spark):
     assert {(r.doc_id, r.item_id): round(r.similarity, 6) for r in got.collect()} == brute_leaks(docs, items)
 
 
+def moved(seed=8):
+    """Documents with items whose halves are swapped, with words put in, taken out and replaced, cut short, or next to frequent shingles."""
+    rng = random.Random(seed)
+    word = lambda: rng.choice("abcdefghij") + str(rng.randrange(400))
+    common = [word() for _ in range(6)]
+    items = [(i, [word() for _ in range(rng.choice([12, 30, 60, 120]))] + common * (i % 3 == 0)) for i in range(10)]
+    docs = []
+    for d in range(60):
+        words = list(items[d % 10][1])
+        at = rng.randrange(1, len(words))
+        change = d % 6
+        if change == 0:
+            words = words[at:] + words[:at]
+        elif change == 1:
+            words[at:at] = [word() for _ in range(rng.randrange(1, 4))]
+        elif change == 2:
+            del words[at : at + rng.randrange(1, 4)]
+        elif change == 3:
+            words[at] = word()
+        elif change == 4:
+            words = words[: 1 + len(words) * 9 // 10] if d % 12 == 4 else words[len(words) // 8 :]
+            docs.append((100 + d, " ".join(words)))
+        around = [[word() for _ in range(rng.randrange(80))] + common * rng.randrange(3) for _ in range(2)]
+        docs.append((d, " ".join(around[0] + words + around[1])))
+    return docs, [(i, " ".join(w)) for i, w in items]
+
+
+def test_leaks_that_moved(spark):
+    docs, items = moved()
+    got = leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    expected = brute_leaks(docs, items)
+    assert len(expected) > 40
+    assert {(r.doc_id, r.item_id): round(r.similarity, 6) for r in got.collect()} == expected
+
+
+def test_swapped_halves(spark):
+    a, b, other = ([f"{c}{i}" for i in range(60)] for c in "abx")
+    text = lambda *parts: " ".join(w for p in parts for w in p)
+    docs = spark.createDataFrame([(1, text(other, other, b, a, other)), (2, text(other, a, b)), (3, text(a, other, b))], "doc_id long, text string")
+    got = leaks(docs, spark.createDataFrame([(7, text(a, b))], "item_id long, text string"))
+    assert sorted((r.doc_id, round(r.similarity, 3), r.start_word) for r in got.collect()) == [(1, 0.933, 120), (2, 1.0, 60)]
+
+
 def test_leaks_without_broadcast(spark, monkeypatch):
     import loomseq.llm.decontaminate as D
 
     monkeypatch.setattr(D, "BROADCAST_SHINGLES", 0)
+    monkeypatch.setattr(D, "BROADCAST_DOCUMENTS", 0)
     docs, items = leaky(5)
     got = leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r.doc_id, r.item_id): round(r.similarity, 6) for r in got.collect()} == brute_leaks(docs, items)
@@ -277,8 +385,9 @@ def test_no_labels_block_nothing(spark):
 def test_bad_hosts_are_blocked_and_good_ones_shrink_towards_their_domain(spark):
     labelled = [(f"h{i}.good.com", 40.0, 1.0) for i in range(10)] + [("bad.com", 50.0, 48.0), ("one.bad.com", 1.0, 1.0)]
     hosts = spark.createDataFrame([(h,) for h in ("bad.com", "h1.good.com", "new.good.com", "new.org")], "host string")
-    got = {r.host: r for r in host_reputation(hosts, spark.createDataFrame(labelled, "host string, n double, bad double")).collect()}
-    assert got["bad.com"].bad_bound > 0.5 > got["h1.good.com"].bad_mean
+    reputation, rate = host_reputation(hosts, spark.createDataFrame(labelled, "host string, n double, bad double"))
+    got = {r.host: r for r in reputation.collect()}
+    assert got["bad.com"].bad_bound > 0.5 > rate > got["h1.good.com"].bad_mean
     assert got["new.good.com"].bad_mean < got["new.org"].bad_mean
 
 
@@ -296,3 +405,29 @@ def test_half_filled_labels_do_not_count(spark, tmp_path):
     got = sorted((tuple(r) for r in op9_url_filters(spark, str(tmp_path)).collect()))
     assert got == sorted(duckdb.sql(url_filter.oracle_sql()).fetchall())
     assert {(r[1], r[4]) for r in got} == {("h0.test", "allow"), ("h1.test", "block")}
+
+
+def test_many_rules_ties_and_levels(spark):
+    rules = [("block", f"r{i}.test", "/") for i in range(3000)] + [("allow", "a.b", "/xy"), ("block", "b", "/xyzw"), ("allow", "b", "/xyzw")]
+    urls = [(1, "http://r17.test/"), (2, "http://s.r2999.test/q"), (3, "http://a.b/xyzw"), (4, "http://c.b/xyzw"), (5, "http://xr17.test/"), (6, "http://r17.test")]
+    none = spark.createDataFrame([], "page_id long, bad boolean")
+    got = {r.page_id: (r.rule, r.verdict) for r in judge_urls(spark.createDataFrame(urls, "page_id long, url string"), none, rules=rules).collect()}
+    assert got == {1: ("r17.test/", "block"), 2: ("r2999.test/", "block"), 3: ("a.b/xy", "allow"), 4: ("b/xyzw", "block"), 5: (None, "allow"), 6: (None, "allow")}
+    hosts = [("a.foo.co.uk",), ("foo.com:8080",), ("10.1.2.3",), ("co.uk",), ("x",), ("",)]
+    levels = {r.host: (r.domain, r.suffix) for r in url_filter._levels(spark.createDataFrame(hosts, "host string"), url_filter.SUFFIXES).collect()}
+    assert levels == {"a.foo.co.uk": ("foo.co.uk", "co.uk"), "foo.com:8080": ("foo.com", "com"), "10.1.2.3": ("10.1.2.3",) * 2, "co.uk": ("co.uk", "co.uk"), "x": ("x", "x"), "": ("", "")}
+
+
+def test_reputation_decides_some_pages_of_the_query(spark, tmp_path):
+    from loomseq.llm.queries import op9_url_filters
+
+    rng = random.Random(5)
+    hosts = [f"{'bad' if i < 3 else 'good'}{i}.shop.co.uk:80" for i in range(12)] + ["10.0.0.7", "x.org"]
+    pages = [(i, f"http://{rng.choice(hosts)}/p{i}", "page_id", None) for i in range(900)]
+    labels = [(i, int(rng.random() > (0.8 if "bad" in pages[i][1] else 0.15)), 0, "host") for i in range(0, 900, 2)]
+    spark.createDataFrame(pages, "page_id long, url string, host string, bad string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int, host string").write.parquet(f"{tmp_path}/labels.parquet")
+    pages, labels = (duckdb.sql(f"select * from read_parquet('{tmp_path}/{t}.parquet/*.parquet')") for t in ("pages", "labels"))  # noqa: F841  read by DuckDB
+    got = sorted((tuple(r) for r in op9_url_filters(spark, str(tmp_path)).collect()), key=str)
+    assert got == sorted(duckdb.sql(url_filter.oracle_sql()).fetchall(), key=str)
+    assert {"bad" in r[1] for r in got if r[4] == "block"} == {True} and {"bad" in r[1] for r in got if r[4] == "allow"} == {False}
