@@ -107,14 +107,12 @@ def interval_join(left: DataFrame, right: DataFrame, left_on: tuple[str, str, st
 
     A pair that meets in several bins is taken in the later of the sides' first
     bins, so no distinct is needed. ``how``: inner, left_outer, left_semi,
-    left_anti; the last three need columns of ``left`` that are distinct by row
-    only in that a key is added and dropped here.
+    left_anti. For these, rows of ``left`` that lie in one bin, which is nearly
+    all where reads are short, pass a plain semi or anti join; only those that
+    lie across bins are numbered and brought together again.
     """
     lc, ls, le = left_on
     rc, rs, re_ = right_on
-    if how != "inner":
-        left = left.withColumn("_row", F.monotonically_increasing_id())
-    a = left.withColumn("_bin", F.explode(bins(ls, le, shift))).alias("a")
     b = right.withColumn("_bin", F.explode(bins(rs, re_, shift))).alias("b")
     meet = (
         (F.col(f"a.{lc}") == F.col(f"b.{rc}"))
@@ -123,20 +121,23 @@ def interval_join(left: DataFrame, right: DataFrame, left_on: tuple[str, str, st
         & (F.col(f"b.{rs}") < F.col(f"a.{le}"))
         & (F.col("a._bin") == F.greatest(F.shiftright(F.col(f"a.{ls}"), shift), F.shiftright(F.col(f"b.{rs}"), shift)))
     )
-    if how in ("left_semi", "left_anti"):
-        # No row key is matched up again: a row that lies in several bins passes if any of its bins meets.
-        met = a.join(b, meet, "left_semi").select("a.*").drop("_bin")
-        if how == "left_semi":
-            return met.dropDuplicates(["_row"]).drop("_row")
-        flagged = left.withColumn("_hit", F.lit(0)).unionByName(met.select(*left.columns).withColumn("_hit", F.lit(1)))
-        return flagged.groupBy("_row").agg(F.max("_hit").alias("_hit"), F.first(F.struct(*[c for c in left.columns if c != "_row"])).alias("_s")).where("_hit = 0").select("_s.*")
-    pairs = a.join(b, meet).select("a.*", *[F.col(f"b.{c}").alias(c) for c in right.columns]).drop("_bin")
-    if how == "inner":
-        return pairs
-    names = [c for c in left.columns if c != "_row"]
-    rest = left.withColumn("_hit", F.lit(0)).unionByName(pairs.select(*left.columns).withColumn("_hit", F.lit(1)))
-    lone = rest.groupBy("_row").agg(F.max("_hit").alias("_hit"), F.first(F.struct(*names)).alias("_s")).where("_hit = 0").select("_s.*", *[F.lit(None).cast(t).alias(c) for c, t in right.dtypes])
-    return pairs.drop("_row").unionByName(lone)
+    if how in ("inner", "left_outer"):
+        a = left.withColumn("_bin", F.explode(bins(ls, le, shift))).alias("a")
+        pairs = a.join(b, meet).select("a.*", *[F.col(f"b.{c}").alias(c) for c in right.columns]).drop("_bin")
+        if how == "inner":
+            return pairs
+        lone = interval_join(left, right, left_on, right_on, "left_anti", shift)
+        return pairs.unionByName(lone.select("*", *[F.lit(None).cast(t).alias(c) for c, t in right.dtypes]))
+    first = F.shiftright(F.col(ls).cast("bigint"), shift)
+    last = F.shiftright(F.greatest(F.col(le).cast("bigint"), F.col(ls).cast("bigint") + 1) - 1, shift)
+    in_one = F.coalesce(first == last, F.lit(True))
+    narrow = left.where(in_one).withColumn("_bin", first).alias("a").join(b, meet, how).select("a.*").drop("_bin")
+    wide = left.where(~in_one).withColumn("_row", F.monotonically_increasing_id()).withColumn("_bin", F.explode(bins(ls, le, shift))).alias("a")
+    if how == "left_semi":
+        return narrow.unionByName(wide.join(b, meet, how).select("a.*").dropDuplicates(["_row"]).drop("_row", "_bin"))
+    hits = wide.join(b.select(F.col("_bin"), *(F.col(c) for c in (rc, rs, re_)), F.lit(1).alias("_hit")).alias("b"), meet, "left_outer")
+    lone = hits.groupBy("a._row").agg(F.max("b._hit").alias("_hit"), F.first(F.struct(*(F.col(f"a.{c}").alias(c) for c in left.columns))).alias("_s")).where("_hit is null").select("_s.*")
+    return narrow.unionByName(lone)
 
 
 def merge_intervals(df: DataFrame, contig: str = "contig", start: str = "start", stop: str = "stop", distance: int = 0) -> DataFrame:
