@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import cigar, flags
 
@@ -26,28 +27,62 @@ def _place_in_template() -> Column:
     return F.shiftleft(f.bitwiseAND(F.lit(0xC0)), 8).bitwiseOR(F.shiftleft(f.bitwiseAND(F.lit(0x100)), 3)).bitwiseOR(F.shiftright(f.bitwiseAND(F.lit(0x800)), 5))
 
 
-def sort_reads(reads: DataFrame, by: str = "coordinate", tag: str | None = None, then: str = "coordinate") -> DataFrame:
-    """``coordinate``, ``name`` (natural), ``ascii`` (by code), ``tag`` (missing first, then ``then``), ``template`` (by the template's two ends)."""
+def sort_key(by: str = "coordinate", tag: str | None = None, then: str = "coordinate") -> list[Column]:
+    """Columns whose ascending order, nulls first, is ``coordinate``, ``name`` (natural), ``ascii`` (by code), ``tag`` (missing first, then ``then``) or ``template`` (by the template's two ends)."""
     name = {"name": [natural_key(), F.col("qname")], "ascii": [F.col("qname")]}
     if by == "coordinate":
-        return reads.orderBy(*coordinate_key())
+        return coordinate_key()
     if by in name:
-        return reads.orderBy(*name[by], _place_in_template(), "file_id", "rec_no")
+        return [*name[by], _place_in_template(), F.col("file_id"), F.col("rec_no")]
     if by == "tag":
         v = F.expr(f"try_element_at(tags, '{tag}')")
         kind = F.when(v.isNull(), 0).when(v["type"] == "A", 1).when(v["i"].isNotNull() | v["d"].isNotNull(), 2).otherwise(3)
         value = F.coalesce(v["i"].cast("double"), v["d"])
-        return reads.orderBy(kind, value.asc_nulls_first(), v["s"].asc_nulls_first(), *(coordinate_key() if then == "coordinate" else [natural_key(), _place_in_template()]))
+        return [kind, value, v["s"], *(coordinate_key() if then == "coordinate" else [natural_key(), _place_in_template()])]
     if by == "template":
         big = F.lit((1 << 31) - 1)
         tid = F.when(flags.has(4), big).otherwise(F.col("tid"))
         mate = F.when(flags.lacks(1) | flags.has(8), big).otherwise(F.col("mate_tid"))
         at = F.when(flags.has(0x10), cigar.unclipped_end()).otherwise(cigar.unclipped_start())
         ours, theirs = F.struct(tid.alias("t"), at.alias("p"), flags.has(0x10).alias("r")), F.struct(mate.alias("t"), F.col("mate_pos").alias("p"), flags.has(0x20).alias("r"))
-        return reads.orderBy(F.least(ours, theirs), F.greatest(ours, theirs), F.coalesce("rg", F.lit("")), natural_key(), ours > theirs, "file_id", "rec_no")
+        return [F.least(ours, theirs), F.greatest(ours, theirs), F.coalesce("rg", F.lit("")), natural_key(), ours > theirs, F.col("file_id"), F.col("rec_no")]
     raise ValueError(f"no order {by!r}")
 
 
+def sort_reads(reads: DataFrame, by: str = "coordinate", tag: str | None = None, then: str = "coordinate") -> DataFrame:
+    """Reads in the order of ``sort_key``."""
+    return reads.orderBy(*sort_key(by, tag, then))
+
+
+#: Pieces that a total rank is taken in, and sampled keys for each.
+PIECES, SAMPLED = 64, 32
+
+
+def _literal(value, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StructType) and value is not None:
+        return F.struct(*(_literal(v, f.dataType).alias(f.name) for v, f in zip(value, kind.fields)))
+    return F.lit(value).cast(kind)
+
+
+def ranked(df: DataFrame, keys: list[Column], name: str = "rank") -> DataFrame:
+    """``df`` with each row's place, from 1, in the ascending order of ``keys``, nulls first.
+
+    Keys chosen by their hash give the edges of pieces; rows are numbered within
+    pieces and moved by the sizes of the pieces before, so no task holds all of
+    them. The edges are values: a recomputed piece is the same piece.
+    """
+    keyed = df.withColumn("_key", F.struct(*(k.alias(f"k{i}") for i, k in enumerate(keys))))
+    sample = keyed.select("_key").orderBy(F.xxhash64("_key")).limit(PIECES * SAMPLED).orderBy("_key").collect()
+    edges = [_literal(r["_key"], keyed.schema["_key"].dataType) for r in sample[SAMPLED::SAMPLED]]
+    piece = F.size(F.filter(F.array(*edges), lambda e: e <= F.col("_key"))) if edges else F.lit(0)
+    pieced = keyed.withColumn("_piece", piece)
+    before, at = [0] * (len(edges) + 1), 0
+    for p, n in sorted(tuple(r) for r in pieced.groupBy("_piece").count().collect()):
+        before[p], at = at, at + n
+    offset = F.get(F.array(*(F.lit(n).cast("bigint") for n in before)), F.col("_piece"))
+    return pieced.withColumn(name, offset + F.row_number().over(Window.partitionBy("_piece").orderBy("_key"))).drop("_key", "_piece")
+
+
 def minimiser_sort(reads: DataFrame, k: int = 20) -> DataFrame:
     """Placed reads by coordinate, then the others by their smallest k-mer hash, so that like sequences lie together."""
     kmer = F.expr(f"array_min(transform(sequence(1, greatest(length(seq) - {k - 1}, 1)), i -> xxhash64(substring(seq, i, {k}))))")
@@ -82,37 +117,46 @@ def base_score(floor: int = 15) -> Column:
     return F.expr(f"coalesce(aggregate(filter(split(qual, ''), c -> c <> ''), 0L, (a, c) -> a + if(ascii(c) - 33 >= {floor}, ascii(c) - 33, 0)), 0L)")
 
 
-def mark_duplicates(reads: DataFrame, barcode: str | None = None, by_group: bool = False, remove: bool = False) -> DataFrame:
+def mark_duplicates(reads: DataFrame, barcode: str | None = None, by_group: bool = False, remove: bool = False, supplementary: bool = False, clear: bool = False, include_fails: bool = False) -> DataFrame:
     """Sets the duplicate bit.
 
-    Pairs with equal contigs, unclipped five-prime ends and orientations are
-    duplicates of the one that passes quality control, has the largest sum of
-    qualities, and the smallest name. A read whose mate is unmapped or missing is
-    one of any pair that shares its end, else of the best such read. Secondary,
-    supplementary and unmapped reads take no part and follow their template.
+    Pairs of a file with equal contigs, unclipped five-prime ends and
+    orientations are duplicates of the one that passes quality control, has the
+    largest sum of qualities, and the smallest name. A read whose mate is
+    unmapped or missing is one of any pair that shares its end, else of the best
+    such read. Secondary, supplementary and unmapped reads take no part, nor,
+    but with ``include_fails``, those that fail quality control. With
+    ``supplementary`` all of a duplicate template's reads are marked; ``clear``
+    takes older marks away first.
     """
     end = F.when(flags.has(0x10), cigar.unclipped_end()).otherwise(cigar.unclipped_start())
-    extra = [F.expr(f"try_element_at(tags, '{barcode}').s").alias("_bc")] if barcode else [F.lit(None).cast("string").alias("_bc")]
+    bc = F.expr(f"try_element_at(tags, '{barcode}').s") if barcode else F.lit(None).cast("string")
     rg = F.col("rg") if by_group else F.lit(None).cast("string")
-    ends = reads.where(flags.lacks(0x904) & (F.col("tid") >= 0)).select(
-        "qname", *extra, rg.alias("_rg"), F.struct(F.col("tid").alias("t"), end.alias("p"), flags.has(0x10).alias("r")).alias("e"), base_score().alias("s"), flags.has(0x200).alias("bad"), (flags.has(1) & flags.lacks(8)).alias("pair")
+    takes_part = flags.lacks(0x904 if include_fails else 0xB04) & (F.col("tid") >= 0)
+    ends = reads.where(takes_part).select(
+        "file_id", "qname", bc.alias("_bc"), rg.alias("_rg"), F.struct(F.col("tid").alias("t"), end.alias("p"), flags.has(0x10).alias("r")).alias("e"), base_score().alias("s"), flags.has(0x200).alias("bad"), (flags.has(1) & flags.lacks(8)).alias("pair")
     )
-    templates = ends.groupBy("qname", "_bc", "_rg").agg(F.min("e").alias("e1"), F.max("e").alias("e2"), F.count("*").alias("n"), F.sum("s").alias("s"), F.max("bad").alias("bad"), F.min("pair").alias("pair"))
+    templates = ends.groupBy("file_id", "qname", "_bc", "_rg").agg(F.min("e").alias("e1"), F.max("e").alias("e2"), F.count("*").alias("n"), F.sum("s").alias("s"), F.max("bad").alias("bad"), F.min("pair").alias("pair"))
     templates = templates.withColumn("is_pair", F.col("pair") & (F.col("n") == 2))
-    best = lambda keys: Window.partitionBy("_bc", "_rg", *keys).orderBy("bad", F.desc("s"), "qname")
-    pairs = templates.where("is_pair").withColumn("dup", F.row_number().over(best(["e1", "e2"])) > 1)
-    paired_ends = pairs.select("_bc", "_rg", F.explode(F.array("e1", "e2")).alias("e1")).distinct().withColumn("taken", F.lit(True))
-    singles = templates.where("not is_pair")
-    same = lambda c: F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
-    lone = singles.alias("a").join(paired_ends.alias("b"), same("e1") & same("_bc") & same("_rg"), "left").select("a.*", F.coalesce("b.taken", F.lit(False)).alias("taken"))
-    lone = lone.withColumn("dup", F.col("taken") | (F.row_number().over(best(["e1"])) > 1))
-    marks = pairs.select("qname", "dup").unionByName(lone.select("qname", "dup")).where("dup").select(F.col("qname").alias("_q")).distinct().withColumn("_dup", F.lit(True))
-    out = reads.join(marks, F.col("qname") == F.col("_q"), "left").drop("_q")
-    if remove:
-        return out.where("_dup is null").drop("_dup")
-    clear = F.col("flag").bitwiseAND(F.lit(~0x400))
-    mark = F.coalesce("_dup", F.lit(False)) & flags.lacks(4)
-    return out.withColumn("flag", F.when(mark, clear.bitwiseOR(F.lit(0x400))).otherwise(clear)).drop("_dup")
+    place = ["file_id", "_bc", "_rg"]
+    rank = F.struct("bad", (-F.col("s")).alias("s"), "qname")
+    # The best of a place is the least of a struct, so hot places are combined before their shuffle; the rest are found by a join.
+    same = lambda keys: F.expr(" and ".join(f"a.{c} <=> b.{c}" for c in keys))
+
+    def beaten(rows: DataFrame, keys: list[str]) -> DataFrame:
+        best = rows.groupBy(*keys).agg(F.min(rank).alias("best"), F.count("*").alias("m")).where("m > 1").drop("m")
+        return rows.alias("a").join(best.alias("b"), same(keys)).where(F.col("a.qname") != F.col("b.best.qname")).select("a.file_id", "a.qname")
+
+    pairs, singles = templates.where("is_pair"), templates.where("not is_pair")
+    taken = pairs.select(*place, F.explode(F.array("e1", "e2")).alias("e1")).distinct()
+    beside_pair = singles.alias("a").join(taken.alias("b"), same([*place, "e1"]), "left_semi").select("file_id", "qname")
+    marks = beaten(pairs, [*place, "e1", "e2"]).unionByName(beside_pair).unionByName(beaten(singles, [*place, "e1"]))
+    marks = marks.select(F.col("file_id").alias("_f"), F.col("qname").alias("_q")).distinct().withColumn("_dup", F.lit(True))
+    out = reads.join(marks, (F.col("file_id") == F.col("_f")) & (F.col("qname") == F.col("_q")), "left").drop("_f", "_q")
+    mark = F.coalesce("_dup", F.lit(False)) & (F.lit(True) if supplementary else takes_part)
+    old = F.col("flag").bitwiseAND(F.lit(~0x400)) if clear else F.col("flag")
+    out = out.withColumn("flag", F.when(mark, old.bitwiseOR(F.lit(0x400))).otherwise(old)).drop("_dup")
+    return out.where(flags.lacks(0x400)) if remove else out
 
 
 def optical_duplicates(reads: DataFrame, distance: int = 100, pattern: str = r"^([^:]+(?::[^:]+)*?):(\d+):(\d+):(\d+)(?:[#/ ].*)?$") -> DataFrame:
