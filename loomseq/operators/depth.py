@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -162,6 +166,12 @@ def flagstat(reads: DataFrame) -> DataFrame:
     return both_rows.withColumns({"mapped_share": share("mapped", "total"), "primary_mapped_share": share("primary_mapped", "primary"), "properly_paired_share": share("properly_paired", "paired"), "singletons_share": share("singletons", "paired")})
 
 
+def aligned_quality() -> Column:
+    """The sum of the qualities of a read's aligned bases; null without qualities."""
+    aligned = f"array_join(transform(filter({cigar.placed()}, o -> o.op in (0,7,8)), o -> substring(qual, cast(o.query as int) + 1, o.len)), '')"
+    return F.expr(f"aggregate(filter(split({aligned}, ''), c -> c <> ''), 0L, (a, c) -> a + ascii(c) - 33)")
+
+
 def coverage(reads: DataFrame, contigs: DataFrame, min_mapq: int = 0, min_baseq: int = 0, exclude: int = flags.EXCLUDED, region: regions.Region | None = None) -> DataFrame:
     """(rname, startpos, endpos, numreads, covbases, coverage, meandepth, meanbaseq, meanmapq) per contig, or of one region."""
     kept = filtered(reads.where("tid >= 0"), min_mapq, exclude)
@@ -170,12 +180,19 @@ def coverage(reads: DataFrame, contigs: DataFrame, min_mapq: int = 0, min_baseq:
         kept = kept.where(regions.overlaps(region))
         span = span.where(F.col("rname") == region.contig).select("rname", F.lit(region.start).cast("bigint").alias("lo"), F.least(F.col("hi"), F.lit(region.stop)).alias("hi"))
     n = kept.groupBy("rname").agg(F.count("*").alias("numreads"), F.avg("mapq").alias("meanmapq"))
-    bases = _bases(kept, False)
-    if region is not None:
-        bases = bases.where((F.col("pos") >= region.start) & (F.col("pos") < region.stop))
-    good = bases.where(F.coalesce(F.col("q"), F.lit(0)) >= min_baseq)
-    by_pos = good.groupBy("rname", "pos").agg(F.count("*").alias("d"), F.sum("q").alias("q"))
-    by_contig = by_pos.groupBy("rname").agg(F.count("*").alias("covbases"), F.sum("d").alias("bases"), F.sum("q").alias("q"))
+    if region is None and not min_baseq:
+        # Whole reads: sums of each, and the stretches that any block covers; no row for a base.
+        width = F.col("stop") - F.col("start")
+        by_depth = runs(covered_blocks(kept)).groupBy("rname").agg(F.sum(width).alias("covbases"), F.sum(width * F.col("depth")).alias("bases"))
+        by_read = kept.groupBy("rname").agg(F.sum(aligned_quality()).alias("q"))
+        by_contig = by_depth.join(by_read, "rname", "left")
+    else:
+        bases = _bases(kept, False)
+        if region is not None:
+            bases = bases.where((F.col("pos") >= region.start) & (F.col("pos") < region.stop))
+        good = bases.where(F.coalesce(F.col("q"), F.lit(0)) >= min_baseq)
+        by_pos = good.groupBy("rname", "pos").agg(F.count("*").alias("d"), F.sum("q").alias("q"))
+        by_contig = by_pos.groupBy("rname").agg(F.count("*").alias("covbases"), F.sum("d").alias("bases"), F.sum("q").alias("q"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     size = F.col("hi") - F.col("lo")
     return span.join(n, "rname", "left").join(by_contig, "rname", "left").select(
@@ -280,19 +297,70 @@ def by_cycle(reads: DataFrame) -> DataFrame:
     return at.groupBy("fragment", "cycle").agg(*(F.count_if(base == b.upper()).alias(b) for b in "acgtn"), F.avg(F.ascii(F.substring("q", F.col("cycle"), F.lit(1))) - 33).alias("mean_quality"))
 
 
+def _products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (rg, three residues, n) each batch's count and products by group."""
+    for batch in batches:
+        groups, at = np.unique(np.array(batch.column(0).to_pylist(), object), return_inverse=True)
+        order = np.argsort(at, kind="stable")
+        starts = np.searchsorted(at[order], np.arange(len(groups)))
+        columns = [batch.column(k).to_numpy().astype(np.int64)[order] for k in (1, 2, 3)]
+        parts = [[_product(part) for part in np.split(c, starts[1:])] if len(groups) else [] for c in columns]
+        n = np.add.reduceat(batch.column(4).to_numpy().astype(np.int64)[order], starts) if len(groups) else []
+        yield pa.RecordBatch.from_arrays([pa.array(groups.tolist(), pa.string()), *(pa.array(p, pa.int64()) for p in parts), pa.array(n, pa.int64())], names=["rg", "names", "bases", "qualities", "n"])
+
+
+#: The modulus of order-free products.
+PRIME = (1 << 31) - 1
+
+
+def _product(values: np.ndarray) -> int:
+    while len(values) > 1:
+        odd, values = values[len(values) & ~1 :], values[: len(values) & ~1]
+        values = np.r_[values[::2] * values[1::2] % PRIME, odd]
+    return int(values[0]) if len(values) else 1
+
+
 def checksum(reads: DataFrame) -> DataFrame:
-    """(rg, n, names, bases, qualities): sums that do not depend on the order of primary reads, and each its own digest.
+    """(rg, n, names, bases, qualities): digests that do not depend on the order of primary reads, of each read group.
 
-    Products of CRC-32 values modulo 2^31 - 1 (0 and the modulus count as 1), taken by partial aggregation over residues:
-    equal values are counted first, then raised to their count.
+    Products of CRC-32 values modulo 2^31 - 1 (0 and the modulus count as 1). A
+    batch gives one row for each of its read groups; batches' rows are combined
+    by the same function within 256 parts of a group, and the parts then.
     """
     from .reads import forward_qualities, forward_sequence
 
     rows = reads.where(flags.lacks(0x900)).select(F.coalesce("rg", F.lit("-")).alias("rg"), F.col("qname").alias("names"), F.coalesce(forward_sequence(), F.lit("")).alias("bases"), F.coalesce(forward_qualities(), F.lit("")).alias("qualities"))
-    prime = (1 << 31) - 1
-    residue = lambda c: F.when(F.crc32(F.encode(c, "utf-8")) % prime == 0, 1).otherwise(F.crc32(F.encode(c, "utf-8")) % prime)
-    parts = rows.select("rg", F.posexplode(F.array(residue("names"), residue("bases"), residue("qualities"))).alias("what", "r"), F.xxhash64("names", "bases").alias("h"))
-    product = lambda xs: F.aggregate(xs, F.lit(1).cast("bigint"), lambda a, x: a * x % prime)
-    # Two levels, so that no array holds a read group: products within 4096 hashed parts, then the product of these.
-    partial = parts.groupBy("rg", "what", F.pmod("h", F.lit(4096)).alias("part")).agg(product(F.collect_list("r")).alias("p"), F.count("*").alias("n"))
-    return partial.groupBy("rg").agg(F.sum(F.when(F.col("what") == 0, F.col("n"))).alias("n"), *(product(F.collect_list(F.when(F.col("what") == i, F.col("p")))).alias(name) for i, name in enumerate(("names", "bases", "qualities"))))
+    residue = lambda c: F.when(F.crc32(F.encode(c, "utf-8")) % PRIME == 0, 1).otherwise(F.crc32(F.encode(c, "utf-8")) % PRIME).alias(c)
+    names = ["names", "bases", "qualities"]
+    schema = "rg string, names long, bases long, qualities long, n long"
+    partial = rows.select("rg", *(residue(c) for c in names), F.lit(1).cast("bigint").alias("n")).mapInArrow(_products, schema)
+    in_parts = partial.repartition("rg", F.pmod(F.xxhash64(*names), F.lit(256))).mapInArrow(_products, schema)
+    return in_parts.repartition("rg").sortWithinPartitions("rg").mapInArrow(_merged, schema).select("rg", "n", *names)
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each group of a whole partition; groups are read groups, few and small."""
+    found: dict[str, list[int]] = {}
+    for batch in batches:
+        for rg, *values, n in zip(*(c.to_pylist() for c in batch.columns)):
+            have = found.setdefault(rg, [1, 1, 1, 0])
+            found[rg] = [a * b % PRIME for a, b in zip(have, values)] + [have[3] + n]
+    yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), *(pa.array([v[k] for v in found.values()], pa.int64()) for k in range(4))], names=["rg", "names", "bases", "qualities", "n"])
+
+
+def flagstat_text(reads: DataFrame) -> DataFrame:
+    """(line_no, value): flag statistics as text, passed and failed reads side by side."""
+    # The counters' wording in the report.
+    wording = [
+        ("total", "in total (QC-passed reads + QC-failed reads)"), ("primary", "primary"), ("secondary", "secondary"), ("supplementary", "supplementary"), ("duplicates", "duplicates"), ("primary_duplicates", "primary duplicates"),
+        ("mapped", "mapped"), ("primary_mapped", "primary mapped"), ("paired", "paired in sequencing"), ("read1", "read1"), ("read2", "read2"), ("properly_paired", "properly paired"),
+        ("both_mapped", "with itself and mate mapped"), ("singletons", "singletons"), ("mate_elsewhere", "with mate mapped to a different chr"), ("mate_elsewhere_mapq5", "with mate mapped to a different chr (mapQ>=5)"),
+    ]
+    shares = {"mapped": "mapped_share", "primary_mapped": "primary_mapped_share", "properly_paired": "properly_paired_share", "singletons": "singletons_share"}
+    both = flagstat(reads)
+    names = [c for c in both.columns if c != "qc"]
+    of = lambda c, qc: F.max(F.when(F.col("qc") == qc, F.col(c))).alias(f"{qc}_{c}")
+    wide = both.groupBy().agg(*(of(c, qc) for c in names for qc in ("pass", "fail")))
+    share = lambda c: F.concat(F.lit(" ("), F.col(f"pass_{c}"), F.lit(" : "), F.col(f"fail_{c}"), F.lit(")"))
+    line = lambda c, text: F.concat(F.col(f"pass_{c}").cast("string"), F.lit(" + "), F.col(f"fail_{c}").cast("string"), F.lit(f" {text}"), share(shares[c]) if c in shares else F.lit(""))
+    return wide.select(F.posexplode(F.array(*(line(c, text) for c, text in wording))).alias("line_no", "value"))

@@ -29,45 +29,65 @@ def pileup_bases(reads: DataFrame, stepper: str = "default", ignore_overlaps: bo
         test &= flags.lacks(1) | flags.has(2)
     if where is not None:
         test &= where
-    kept = reads.where(test)
+    mates = ignore_overlaps and stepper == "default"
+    kept = _with_overlaps(reads.where(test)) if mates else reads.where(test)
     ops = f"filter({cigar.placed()}, o -> o.len > 0 and o.op not in (5))"
     # Of each operation: what follows it, insertions (and padding between) or deletions run together.
     follow = (
         "transform(x, (o, i) -> named_struct('o', o, 'ins', aggregate(slice(x, i + 2, size(x)), named_struct('n', 0, 'on', true), (a, p) -> named_struct('n', a.n + if(a.on and p.op = 1, p.len, 0), 'on', a.on and p.op in (1, 6)), a -> a.n),"
         " 'del', aggregate(slice(x, i + 2, size(x)), named_struct('n', 0, 'on', true), (a, p) -> named_struct('n', a.n + if(a.on and p.op = 2, p.len, 0), 'on', a.on and p.op = 2), a -> a.n)))"
     )
-    placed = kept.select("rname", "tid", "file_id", "rec_no", "qname", "flag", "mapq", "seq", "qual", "pos", F.expr(f"{cigar._sum('cigar_ops', cigar.REF)}").alias("span"), F.expr(ops).alias("x"))
+    more = ["_may", "_over"] if mates else []
+    placed = kept.select(*more, "rname", "tid", "file_id", "rec_no", "qname", "flag", "mapq", "seq", "qual", "pos", F.expr(f"{cigar._sum('cigar_ops', cigar.REF)}").alias("span"), F.expr(ops).alias("x"))
     each = F.expr(
         f"flatten(transform(filter({follow}, w -> w.o.op in {cigar.REF}), w -> transform(sequence(0, w.o.len - 1), k -> named_struct('pos', w.o.ref + k, 'query', if(w.o.op in (2,3), null, w.o.query + k),"
         " 'next', if(w.o.op in (2,3), w.o.query, w.o.query + k), 'is_del', w.o.op in (2,3), 'is_refskip', w.o.op = 3, 'indel', if(k = w.o.len - 1, if(w.ins > 0, w.ins, -w.del), 0)))))"
     )
-    rows = placed.select("rname", "tid", "file_id", "rec_no", "qname", "flag", "mapq", "seq", "qual", F.col("pos").alias("first"), "span", F.explode(each).alias("b"))
+    rows = placed.select(*more, "rname", "tid", "file_id", "rec_no", "qname", "flag", "mapq", "seq", "qual", F.col("pos").alias("first"), "span", F.explode(each).alias("b"))
     at = F.col("b.query").cast("int") + 1
     out = rows.select(
-        "rname", "tid", F.col("b.pos").alias("pos"), "file_id", "rec_no", "qname", "flag", "mapq", F.col("b.query").alias("query"), F.col("b.next").alias("query_or_next"), F.substring("seq", at, F.lit(1)).alias("base"),
+        *more, *([F.col("first").alias("_first")] if mates else []), "rname", "tid", F.col("b.pos").alias("pos"), "file_id", "rec_no", "qname", "flag", "mapq", F.col("b.query").alias("query"), F.col("b.next").alias("query_or_next"), F.substring("seq", at, F.lit(1)).alias("base"),
         (F.ascii(F.substring("qual", F.col("b.next").cast("int") + 1, F.lit(1))) - 33).alias("q"), F.col("b.is_del").alias("is_del"), F.col("b.is_refskip").alias("is_refskip"), F.col("b.indel").cast("int").alias("indel"),
         F.when(F.col("b.indel") > 0, F.expr("substring(seq, cast(b.next as int) + 2 - if(b.is_del, 1, 0), b.indel)")).alias("insert"), (F.col("b.pos") == F.col("first")).alias("is_head"), (F.col("b.pos") == F.col("first") + F.col("span") - 1).alias("is_tail"),
     )
-    return one_per_template(out) if ignore_overlaps and stepper == "default" else out
+    if not mates:
+        return out
+    # Only bases of templates whose reads overlap are brought together by position.
+    return out.where("not _over").drop("_may", "_over", "_first").unionByName(one_per_template(out.where("_over")).drop("_over"))
+
+
+def _with_overlaps(reads: DataFrame) -> DataFrame:
+    """Adds _may (the read may have its qualities mended against its mate's) and _over (reads of its template that may, overlap), by one shuffle of reads."""
+    far = (F.abs("tlen") >= 2 * F.length("seq")) & (F.col("mate_pos") >= F.col("end_pos"))
+    may = flags.lacks(8) & flags.has(2) & ((F.col("mate_tid") < 0) | (F.col("mate_tid") == F.col("tid"))) & ~F.coalesce(far, F.lit(False))
+    w = Window.partitionBy("file_id", "rname", "qname")
+    n, low, high = F.count_if("_may").over(w), F.min(F.when(F.col("_may"), F.col("end_pos"))).over(w), F.max(F.when(F.col("_may"), F.col("pos"))).over(w)
+    return reads.withColumn("_may", may).withColumn("_over", F.col("_may") & ((n > 2) | ((n == 2) & (high < low))))
 
 
 def one_per_template(bases: DataFrame) -> DataFrame:
-    """Qualities of mates that overlap: where their bases agree one has the sum (200 at most) and the other none, else the better keeps four fifths."""
-    w = Window.partitionBy("rname", "pos", "file_id", "qname")
-    order = w.orderBy("rec_no")
-    pair = (F.count("*").over(w) == 2) & flags.has(2)
+    """Qualities where two mates cover a position, the first being that which starts first.
+
+    Where their bases agree one has the sum (200 at most) and the other none,
+    else the better keeps four fifths; which one, where it could be either, the
+    name's hash says. A base beside a deletion keeps four fifths or none.
+    """
+    w = Window.partitionBy("file_id", "rname", "qname", "pos")
+    order = w.orderBy("_first", "rec_no")
+    pair = (F.count("*").over(w) == 2) & F.min("_may").over(w)
     other = lambda c: F.coalesce(F.lead(c).over(order), F.lag(c).over(order))
     first = F.row_number().over(order) == 1
-    heads = (mixed(name_hash()).bitwiseAND(F.lit(1)) == 1) == first  # by the name's hash either mate, evenly
-    marked = bases.withColumns({"_pair": pair, "_base": other("base"), "_q": other("q"), "_keep": heads, "_del": other("is_del")})
-    agree = F.col("base") == F.col("_base")
+    keep = (mixed(name_hash()).bitwiseAND(F.lit(1)) == 1) == first
+    marked = bases.withColumns({"_pair": pair, "_base": other("base"), "_q": other("q"), "_keep": keep, "_del": other("is_del"), "_skip": other("is_refskip")})
+    less = F.floor(F.col("q") * 0.8).cast("int")
     q = (
-        F.when(~F.col("_pair") | F.col("is_del") | F.coalesce("_del", F.lit(True)), F.col("q"))
-        .when(agree, F.when(F.col("_keep"), F.least(F.col("q") + F.col("_q"), F.lit(200))).otherwise(0))
-        .when((F.col("q") > F.col("_q")) | ((F.col("q") == F.col("_q")) & F.col("_keep")), F.floor(F.col("q") * 0.8).cast("int"))
+        F.when(~F.col("_pair") | F.col("is_del") | F.coalesce("_skip", F.lit(True)), F.col("q"))
+        .when(F.col("_del"), F.when(F.col("_keep"), less).otherwise(0))
+        .when(F.col("base") == F.col("_base"), F.when(F.col("_keep"), F.least(F.col("q") + F.col("_q"), F.lit(200))).otherwise(0))
+        .when((F.col("q") > F.col("_q")) | ((F.col("q") == F.col("_q")) & F.col("_keep")), less)
         .otherwise(0)
     )
-    return marked.withColumn("q", q).drop("_pair", "_base", "_q", "_keep", "_del")
+    return marked.withColumn("q", q).drop("_pair", "_base", "_q", "_keep", "_del", "_skip", "_may", "_first")
 
 
 def in_region(bases: DataFrame, region: regions.Region) -> DataFrame:
