@@ -407,9 +407,29 @@ def _call(name: str, args: list) -> Value | Truth:
         if len(args) == 2:
             a = Value(f"concat({a.sql}, {args[1].sql})", "n") if not a.per_sample else Value(f"zip_with({a.sql}, {_lift(args[1])}, (u, w) -> concat(u, w))", "n", True)
         return Value(f"transform({a.sql}, v -> array({_binomial('v')}))", "n", True) if a.per_sample else Value(f"array({_binomial('(' + a.sql + ')')})", "n")
+    if up == "FISHER":
+        # Four counts, or two vectors of two.
+        if len(args) == 2:
+            a = Value(f"concat({a.sql}, {args[1].sql})", "n") if not a.per_sample else Value(f"zip_with({a.sql}, {_lift(args[1])}, (u, w) -> concat(u, w))", "n", True)
+        return Value(f"transform({a.sql}, v -> array({_fisher('v')}))", "n", True) if a.per_sample else Value(f"array({_fisher('(' + a.sql + ')')})", "n")
     raise ExpressionError(f"no function {name!r}")
 
 
+def _fisher(v: str) -> str:
+    """SQL: the two-sided exact test of the 2 x 2 table v[0] v[1] / v[2] v[3]: tables with its margins that are no likelier.
+
+    A table's chance against that of the first possible one is a product of ratios of neighbours; logarithms keep it in range.
+    """
+    a, b, c, d = (f"cast({v}[{i}] as int)" for i in range(4))
+    low, high = f"greatest(0, {a} - {d})", f"least({a} + {b}, {a} + {c})"
+    step = f"ln(cast(({a} + {b} - x + 1) as double)) + ln(cast(({a} + {c} - x + 1) as double)) - ln(cast(x as double)) - ln(cast(({d} - {a} + x) as double))"
+    chances = f"aggregate(sequence({low}, {high}), named_struct('t', 0.0D, 'all', cast(array() as array<double>)), (s, x) -> named_struct('t', s.t + if(x = {low}, 0.0D, {step}), 'all', concat(s.all, array(s.t + if(x = {low}, 0.0D, {step})))), s -> s.all)"
+    return (
+        f"if(size({v}) < 4 or exists(slice({v}, 1, 4), y -> y is null), null, if({a} + {b} + {c} + {d} = 0, 1.0D, aggregate(array({chances}), 1.0D, (r, l) ->"
+        f" least(1.0D, aggregate(filter(l, y -> y <= l[{a} - {low}] + 1e-7D), 0.0D, (s, y) -> s + exp(y - array_max(l))) / aggregate(l, 0.0D, (s, y) -> s + exp(y - array_max(l)))))))"
+    )
+
+
 def _binomial(v: str) -> str:
     """SQL: the two-sided binomial test of one half for counts v[0] and v[1]."""
     n, k = f"cast({v}[0] + {v}[1] as int)", f"cast(least({v}[0], {v}[1]) as int)"
