@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .headers import AlignmentHeader, VariantHeader
+from .plans.settings import scratch_path
 from .sources import sam, vcf
 
 CONTIG_LENGTH = 21000
@@ -68,7 +69,20 @@ def sam_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.concat_ws("\t", *fields).alias("value"), F.lit(0).alias("file_id"), F.col("rec_no").cast("bigint").alias("rec_no"))
 
 
+_landed: dict[tuple[str, str], str] = {}
+
+
+def land(spark: SparkSession, sf_dir: str) -> None:
+    """Write reads and variants once as Parquet, laid out by contig and place; from then on ``reads`` and ``variants`` read that."""
+    for name, df, place in (("reads", reads(spark, sf_dir), ["rname", "pos"]), ("variants", variants(spark, sf_dir), ["chrom", "pos"])):
+        path = scratch_path(spark, name)
+        df.repartitionByRange(spark.sparkContext.defaultParallelism, *place).sortWithinPartitions(*place).write.parquet(path)
+        _landed[name, sf_dir] = path
+
+
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    if ("reads", sf_dir) in _landed:
+        return spark.read.parquet(_landed["reads", sf_dir])
     return sam.parse(sam_lines(spark, sf_dir), HEADER, records_only=True)
 
 
@@ -84,6 +98,8 @@ def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    if ("variants", sf_dir) in _landed:
+        return spark.read.parquet(_landed["variants", sf_dir])
     return vcf.parse(vcf_lines(spark, sf_dir), VCF_HEADER, records_only=True)
 
 

@@ -1,8 +1,31 @@
 """Session settings that plans over parsed text depend on."""
 
+import atexit
+import re
+import shutil
+import tempfile
+import uuid
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+_own_folder: str | None = None
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder that the cluster names in ``spark.checkpoint.dir``; on one machine, where that is unset, in a temporary one."""
+    global _own_folder
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        if _own_folder is None:
+            _own_folder = tempfile.mkdtemp(prefix="loomseq-")
+            atexit.register(shutil.rmtree, _own_folder, ignore_errors=True)
+        folder = f"file://{_own_folder}"
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 
 def for_parsed_text(spark: SparkSession) -> None:
     """Turns the inference of constraints off.

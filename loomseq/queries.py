@@ -28,6 +28,29 @@ _BLOCKS = """(
 _BASES = f"(select *, start + i as p_, substr(seq, cast(query + i + 1 as int), 1) as base, ascii(substr(qual, cast(query + i + 1 as int), 1)) - 33 as q from (select *, unnest(range(stop - start)) as i from {_BLOCKS}))"
 
 
+def _mixed_sql(value: str) -> str:
+    """SQL: the integer mix of ``reads.mixed``, one named step after the other, over rows with ``value``."""
+    mask = 4294967295
+    source = f"(select *, ({value}) & {mask} as x0 from r0)"
+    steps = [f"(x0 + {mask} - ((x0 << 15) & {mask})) & {mask}", "xor(x1, x1 >> 10)", f"(x2 + ((x2 << 3) & {mask})) & {mask}", "xor(x3, x3 >> 6)", f"(x4 + {mask} - ((x4 << 11) & {mask})) & {mask}", "xor(x5, x5 >> 16)"]
+    for i, step in enumerate(steps):
+        source = f"(select *, {step} as x{i + 1} from {source})"
+    return source
+
+
+def _mixed(x: int) -> int:
+    mask = 4294967295
+    x = (x + mask - ((x << 15) & mask)) & mask
+    x ^= x >> 10
+    x = (x + ((x << 3) & mask)) & mask
+    x ^= x >> 6
+    x = (x + mask - ((x << 11) & mask)) & mask
+    return x ^ (x >> 16)
+
+
+_NAME_HASH = "list_reduce(list_transform(string_split(qname, ''), lambda c: ascii(c)::bigint), lambda h, c: (h * 31 + c) & 4294967295)"
+
+
 def query(sql: str | None = None):
     """Registers a query under its name, with the SQL that gives the same rows."""
 
@@ -80,19 +103,13 @@ def head_topk(spark, sf_dir):
 
 @query(f"{_R} select qname, flag, row_number() over (order by tid, pos, flag & 16 > 0, rec_no) as rank from r")
 def coordinate_sort_rank(spark, sf_dir):
-    return order.sort_reads(lens.reads(spark, sf_dir)).select("qname", "flag", F.row_number().over(_all(*order.coordinate_key())).alias("rank"))
-
-
-def _all(*by):
-    from pyspark.sql import Window
-
-    return Window.orderBy(*by)
+    return order.ranked(lens.reads(spark, sf_dir).select("qname", "flag", "tid", "pos", "file_id", "rec_no"), order.sort_key("coordinate")).select("qname", "flag", "rank")
 
 
 @query(f"{_R} select distinct qname, dense_rank() over (order by cast(substr(qname, 2) as bigint)) as rank from r")
 def name_sort_rank(spark, sf_dir):
     names = lens.reads(spark, sf_dir).select("qname").distinct()
-    return names.select("qname", F.dense_rank().over(_all(order.natural_key())).cast("bigint").alias("rank"))
+    return order.ranked(names, [order.natural_key()])
 
 
 @query(f"{_R} select nm, count(*) as n, min(pos) as first from r group by nm")
@@ -209,14 +226,37 @@ def template_scores(spark, sf_dir):
     return rows.groupBy("qname").agg(F.count("*").alias("n"), F.max("s").alias("best"))
 
 
-@query()
+_SCORE = "list_sum(list_transform(string_split(qual, ''), lambda c: case when ascii(c) - 33 >= 15 then ascii(c) - 33 else 0 end))"
+
+
+def _duplicates_sql(exclude: int, old: str, marked: str) -> str:
+    return f"""{_R}, e as (select qname, [tid, case when flag & 16 > 0 then pos + span when k = 2 then pos - 3 else pos end, case when flag & 16 > 0 then 1 else 0 end] as e, {_SCORE} as s, flag & 512 > 0 as bad, flag & 9 = 1 as pair from r where flag & {exclude} = 0),
+t as (select qname, min(e) as e1, max(e) as e2, count(*) as n, sum(s) as s, bool_or(bad) as bad, bool_and(pair) as pair from e group by qname),
+p as (select *, row_number() over (partition by e1, e2 order by bad, s desc, qname) as i from t where pair and n = 2),
+o as (select *, row_number() over (partition by e1 order by bad, s desc, qname) as i from t where not (pair and n = 2)),
+d as (select qname from p where i > 1 union select qname from o where i > 1 or e1 in (select e1 from p union select e2 from p))
+select rec_no, case when {marked} and qname in (select qname from d) then ({old}) | 1024 else {old} end as flag from r"""
+
+
+@query(_duplicates_sql(2820, "flag", "flag & 2820 = 0"))
 def mark_duplicates(spark, sf_dir):
-    return order.mark_duplicates(lens.reads(spark, sf_dir)).groupBy(flags.has(0x400).alias("duplicate")).agg(F.count("*").alias("n"))
+    return order.mark_duplicates(lens.reads(spark, sf_dir)).select("rec_no", "flag")
 
 
-@query()
+@query(_duplicates_sql(2308, "flag & 3071", "true"))
+def mark_whole_templates(spark, sf_dir):
+    return order.mark_duplicates(lens.reads(spark, sf_dir), supplementary=True, clear=True, include_fails=True).select("rec_no", "flag")
+
+
+@query(f"""{_R}, m as (select qname as q, flag & 192 as p, tid as mtid, pos as mpos, pos + span as mend, flag as mflag from (select *, row_number() over (partition by qname, flag & 192 order by rec_no) as i from r where flag & 2304 = 0 and flag & 1 > 0) where i = 1),
+j as (select *, q is not null as has, flag & 4 = 0 as mine, mflag & 4 = 0 as theirs, pos + span as end_ from r left join m on qname = q and flag & 2304 = 0 and flag & 1 > 0 and (flag & 192) + p = 192 and (flag & 192) <> p),
+b as (select *, coalesce(mine and theirs and tid = mtid, false) as together from j)
+select rec_no, case when not has then flag else (flag & 4053) | case when mflag & 4 > 0 then 8 else 0 end | case when mflag & 16 > 0 then 32 else 0 end
+    | case when together and (flag & 16) <> (mflag & 16) and case when flag & 16 > 0 then mpos <= end_ else pos <= mend end then 2 else 0 end end as flag,
+  case when not has then mate_pos when mine and not theirs then pos else mpos end as mate_pos,
+  case when not has then tlen when not together then 0 when pos < mpos or (pos = mpos and flag & 192 = 64) then greatest(end_, mend) - least(pos, mpos) else least(pos, mpos) - greatest(end_, mend) end::bigint as tlen from b""")
 def fixmate(spark, sf_dir):
-    return order.fix_mates(lens.reads(spark, sf_dir)).select("qname", "flag", "mate_pos", "tlen")
+    return order.fix_mates(lens.reads(spark, sf_dir)).select("rec_no", "flag", "mate_pos", "tlen")
 
 
 @query(f"{_R} select 'lib' || cast(cast(substr(rg, 3) as int) // 2 as varchar) as library, 's' || cast(cast(substr(rg, 3) as int) % 2 as varchar) as sample, count(*) as n from r group by 1, 2")
@@ -278,9 +318,9 @@ def view_filters(spark, sf_dir):
     return reads.view(lens.reads(spark, sf_dir), require=3, exclude="UNMAP,DUP", exclude_all=80, require_any="READ1,READ2", min_mapq=10, read_groups=["rg0", "rg2"]).select("qname", "flag", "pos")
 
 
-@query()
+@query(f"{_R}, r0 as (select distinct qname from r) select rec_no, qname from r where qname in (select qname from {_mixed_sql(f'xor({_NAME_HASH}, {_mixed(7)})')} where (x6 & 16777215) / 16777216.0 < 0.25)")
 def subsample(spark, sf_dir):
-    return reads.subsample(lens.reads(spark, sf_dir), 0.25, 7).groupBy("rname").agg(F.count("*").alias("n"))
+    return reads.subsample(lens.reads(spark, sf_dir), 0.25, 7).select("rec_no", "qname")
 
 
 @query(f"{_R} select qname || chr(9) || flag || chr(9) || rname || chr(9) || (pos + 1) || chr(9) || mapq || chr(9) || cigar || chr(9) || case when mate_tid = tid then '=' else 'chr' || (mate_tid + 1) end || chr(9) || (mate_pos + 1) || chr(9) || tlen || chr(9) || seq || chr(9) || qual || chr(9) || 'RG:Z:' || rg || chr(9) || 'NM:i:' || nm as value from r")
@@ -291,23 +331,70 @@ def sam_round_trip(spark, sf_dir):
 _GAPS = "(select rname, flag, unnest(range(pos + a, pos + a + case k when 1 then 2 else 50 end)) as p_ from r where k in (1, 4))"
 
 
+#: Every read and position it spans, with what a pileup tells of it.
+_PILED = f"""(
+  select r.*, z.p_, z.base, z.q, false as del, false as skip, case when r.k = 1 and z.p_ = r.pos + r.a - 1 then -2 when r.k = 3 and z.p_ = r.pos + r.a - 1 then 2 else 0 end as indel from r join {_BASES} z using (rec_no)
+  union all
+  select r.*, unnest(range(pos + a, pos + a + case k when 1 then 2 else 50 end)) as p_, null as base, ascii(substr(qual, cast(a + 1 as int), 1)) - 33 as q, true as del, k = 4 as skip, 0 as indel from r where k in (1, 4)
+)"""
+_MENDED = f"""{_R}, r0 as (select distinct qname from r), h as (select qname, x6 & 1 = 1 as odd from {_mixed_sql(_NAME_HASH)}),
+b as (select *, flag & 10 = 2 and mate_tid = tid and not (abs(tlen) >= 2 * qlen and mate_pos >= pos + span) as may from {_PILED} where {_GOOD} and flag & 2 > 0),
+c as (select *, count(*) over w = 2 and bool_and(may) over w as pair, row_number() over o = 1 as lead_, lead(base) over o as b1, lag(base) over o as b2, lead(q) over o as q1, lag(q) over o as q2, lead(del) over o as d1, lag(del) over o as d2, lead(skip) over o as s1, lag(skip) over o as s2
+  from b window w as (partition by rname, p_, qname), o as (partition by rname, p_, qname order by pos, rec_no)),
+d as (select c.* exclude (q), c.q as raw, odd = lead_ as keep, coalesce(b1, b2) as ob, coalesce(q1, q2) as oq, coalesce(d1, d2) as od, coalesce(s1, s2) as os from c join h using (qname)),
+m as (select *, case when not pair or del or coalesce(os, true) then raw when od then case when keep then floor(raw * 0.8) else 0 end when base = ob then case when keep then least(raw + oq, 200) else 0 end
+  when raw > oq or (raw = oq and keep) then floor(raw * 0.8) else 0 end::int as q from d)"""
+
+
 @query(f"{_R} select rname, p_ as pos, count(*) as n, sum(case when q is null or q >= 13 then 1 else 0 end)::bigint as aligned from (select rname, flag, p_, q from {_BASES} union all select rname, flag, p_, null from {_GAPS}) where {_GOOD} and flag & 2 > 0 group by 1, 2")
 def pileup_columns(spark, sf_dir):
     bases = pileup.pileup_bases(lens.reads(spark, sf_dir), ignore_overlaps=False)
     return pileup.columns(bases).select("rname", "pos", "n", F.col("aligned").cast("bigint").alias("aligned"))
 
 
-@query()
+@query(f"{_MENDED} select rname, p_ as pos, count(*) as n, sum(case when del or q >= 13 then 1 else 0 end)::bigint as aligned, sum(q)::bigint as qualities from m group by 1, 2")
+def pileup_overlaps(spark, sf_dir):
+    bases = pileup.pileup_bases(lens.reads(spark, sf_dir))
+    good = F.col("is_del") | (F.col("q") >= 13)
+    return bases.groupBy("rname", "pos").agg(F.count("*").alias("n"), F.count_if(good).alias("aligned"), F.sum("q").alias("qualities"))
+
+
+@query(f"""{_MENDED}, t as (select rname, p_, rec_no, chr(least(greatest(q, 0), 93) + 33) as qc, case when p_ = pos then '^' || chr(least(mapq, 93) + 33) else '' end
+  || case when skip then case when flag & 16 > 0 then '<' else '>' end when del then '*' when flag & 16 > 0 then lower(base) else base end
+  || case when indel = 2 then '+2' || case when flag & 16 > 0 then lower(substr(seq, cast(a + 1 as int), 2)) else substr(seq, cast(a + 1 as int), 2) end when indel = -2 then case when flag & 16 > 0 then '-2nn' else '-2NN' end else '' end
+  || case when p_ = pos + span - 1 then '$' else '' end as txt from m where del or q >= 13)
+select rname, p_ as pos, 'N' as ref, count(*) as depth, string_agg(txt, '' order by rec_no) as bases, string_agg(qc, '' order by rec_no) as quals from t group by 1, 2""")
 def mpileup_text(spark, sf_dir):
     return pileup.mpileup(pileup.pileup_bases(lens.reads(spark, sf_dir))).select("rname", "pos", "ref", "depth", "bases", "quals")
 
 
-@query()
+_PAIR_LETTERS = {"AC": "M", "AG": "R", "AT": "W", "CG": "S", "CT": "Y", "GT": "K"}
+
+
+@query(f"""{_R}, c as (select rname, p_, case when del then '*' else base end as x from {_PILED} where {_GOOD} and not skip),
+n as (select rname, p_, count(*) as depth, list_reverse_sort([{', '.join(f"{{'w': sum(case when x = '{x}' then 8.0 else 0.0 end), 'b': '{x}'}}" for x in 'ACGT*')}]) as l from c group by 1, 2),
+o as (select rname, p_, depth, l[1].w as w1, l[1].b as b1, l[2].w as w2, l[2].b as b2, depth * 8.0 as total from n),
+h as (select *, w2 >= 0.15 * w1 and w2 > 0 and b1 <> '*' and b2 <> '*' as het from o)
+select rname, p_ as pos, case when case when het then w1 + w2 else w1 end / total < 0.75 then 'N' when het then case least(b1, b2) || greatest(b1, b2) {' '.join(f"when '{p}' then '{c}'" for p, c in _PAIR_LETTERS.items())} end else b1 end as base, depth from h""")
 def consensus_simple(spark, sf_dir):
-    return pileup.simple_consensus(pileup.pileup_bases(lens.reads(spark, sf_dir), "all")).groupBy("base").agg(F.count("*").alias("n"))
+    return pileup.simple_consensus(pileup.pileup_bases(lens.reads(spark, sf_dir), "all")).select("rname", "pos", "base", "depth")
+
+
+_PRIMARY, _MAPPED = "flag & 2304 = 0", "flag & 2308 = 0"
+_BOTH = "flag & 2316 = 0 and flag & 1 > 0"
+_INSERT = f"{_BOTH} and mate_tid = tid and tlen > 0"
+_CIGAR_BASES = "case when k = 2 then qlen - 3 else qlen end"
+_NUMBERS = {
+    "raw total sequences": (_PRIMARY, "1"), "filtered sequences": ("false", "1"), "1st fragments": (f"{_PRIMARY} and (flag & 1 = 0 or flag & 64 > 0)", "1"), "last fragments": (f"{_PRIMARY} and flag & 129 = 129", "1"),
+    "reads mapped": (_MAPPED, "1"), "reads mapped and paired": (_BOTH, "1"), "reads unmapped": (f"{_PRIMARY} and flag & 4 > 0", "1"), "reads properly paired": (f"{_MAPPED} and flag & 3 = 3", "1"), "reads paired": (f"{_PRIMARY} and flag & 1 > 0", "1"),
+    "reads duplicated": (f"{_PRIMARY} and flag & 1024 > 0", "1"), "reads MQ0": (f"{_MAPPED} and mapq = 0", "1"), "reads QC failed": (f"{_PRIMARY} and flag & 512 > 0", "1"), "non-primary alignments": ("flag & 256 > 0", "1"), "supplementary alignments": ("flag & 2048 > 0", "1"),
+    "total length": (_PRIMARY, "qlen"), "total first fragment length": (f"{_PRIMARY} and (flag & 1 = 0 or flag & 64 > 0)", "qlen"), "total last fragment length": (f"{_PRIMARY} and flag & 129 = 129", "qlen"), "bases mapped": (_MAPPED, "qlen"),
+    "bases mapped (cigar)": (_MAPPED, _CIGAR_BASES), "bases duplicated": (f"{_PRIMARY} and flag & 1024 > 0", "qlen"), "mismatches": (_MAPPED, "nm"), "insert size pairs": (_INSERT, "1"), "insert size total": (_INSERT, "tlen"),
+    "pairs on different chromosomes": (f"{_BOTH} and mate_tid <> tid and flag & 64 > 0", "1"),
+}
 
 
-@query()
+@query(f"{_R} select 'maximum length' as name, max(case when {_PRIMARY} then qlen end)::bigint as value from r" + "".join(f" union all select '{n}', coalesce(sum(case when {t} then {v} else 0 end), 0)::bigint from r" for n, (t, v) in _NUMBERS.items()))
 def read_summary(spark, sf_dir):
     return depth.summary_numbers(lens.reads(spark, sf_dir))
 
@@ -461,7 +548,7 @@ def view_selectors(spark, sf_dir):
 @query(f"{_V} select rec_no, row_number() over (order by chrom, pos, ref, rec_no) as rank from v")
 def variant_sort_rank(spark, sf_dir):
     v = lens.variants(spark, sf_dir)
-    return v.select("rec_no", F.row_number().over(_all(F.col("rid").asc_nulls_last(), "chrom", "pos", "ref", F.array_join("alts", ","), "rec_no")).alias("rank"))
+    return order.ranked(v.select("rid", "chrom", "pos", "ref", "alts", "rec_no"), [F.coalesce("rid", F.lit((1 << 31) - 1)), F.col("chrom"), F.col("pos"), F.col("ref"), F.array_join("alts", ","), F.col("rec_no")]).select("rec_no", "rank")
 
 
 @query(f"{_V} select count(*) as records, count(distinct rec_no) as places from (select rec_no from v where qual > 150 union select rec_no from v where db)")
@@ -488,7 +575,7 @@ def atomize(spark, sf_dir):
     return variants.atomize(lens.variants(spark, sf_dir)).where(F.length("ref") == F.length("alt")).select("rec_no", "pos", "ref", "alt")
 
 
-@query()
+@query(f"{_V} select chrom, pos, 6 as n_samples, (case when qual > 150 then dp else 0 end + case when db then dp else 0 end)::varchar as dp from v where qual > 150 or db")
 def merge_samples(spark, sf_dir):
     from .headers import VariantHeader
 
@@ -504,10 +591,16 @@ def merge_samples(spark, sf_dir):
 def homozygous_runs(spark, sf_dir):
     from .operators import models
 
-    return models.runs_of_homozygosity(models.dosages(lens.variants(spark, sf_dir)))
+    # Sites lie three bases apart and genotypes change from one to the next: states have to change as readily to give runs.
+    return models.runs_of_homozygosity(models.dosages(lens.variants(spark, sf_dir)), to_roh=0.02, to_normal=0.1)
 
 
-@query()
+@query(f"""{_V}, c as (select rec_no, (g1 = 1)::int + (g2 = 1)::int + (g3 = 1)::int as het, (g1 = 0)::int + (g2 = 0)::int + (g3 = 0)::int as rr, (g1 = 2)::int + (g2 = 2)::int + (g3 = 2)::int as aa from v),
+n as (select *, het + rr + aa as n, 2 * least(rr, aa) + het as rare from c),
+x as (select rec_no, het, rare, n, unnest(range(0, rare + 1)) as h from n),
+w as (select rec_no, het, h, pow(2, h) / (factorial(((rare - h) // 2)::int) * factorial(h::int) * factorial((n - (rare - h) // 2 - h)::int)) as w from x where (rare - h) % 2 = 0 and n - (rare - h) // 2 - h >= 0),
+o as (select rec_no, max(case when h = het then w end) as here from w group by rec_no)
+select rec_no, round(sum(case when w <= here * (1 + 1e-9) then w else 0 end) / sum(w), 6) as p from w join o using (rec_no) group by rec_no""")
 def hardy_weinberg(spark, sf_dir):
     from .functions.numeric import hwe_test
 
@@ -550,12 +643,16 @@ def genotype_likelihoods(spark, sf_dir):
     return out.select("rname", "pos", "depth", (F.round("AA", 3) + F.lit(0.0)).alias("aa"))
 
 
-@query()
+@query(f"""{_R}, t as ({lens.REGIONS_SQL}),
+f as (select rec_no, max(stop - pos) as n from r join t on t.contig = r.rname and flag & 16 = 0 and pos < stop and start - 5 < pos + 1 group by rec_no),
+b as (select rec_no, max(pos + span - start) as m from r join t on t.contig = r.rname and flag & 16 > 0 and pos + span > start and pos + span - 1 < stop + 5 group by rec_no),
+j as (select r.*, n, m, case k when 1 then 2 when 4 then 50 else 0 end as gap from r left join f using (rec_no) left join b using (rec_no))
+select rec_no, case when coalesce(n, 0) >= span or coalesce(m, 0) >= span then flag | 4 else flag end as flag,
+  (case when n is null then pos when gap > 0 and pos + n >= pos + a and pos + n <= pos + a + gap then pos + a + gap else pos + least(n, span) end)::bigint as pos from j""")
 def clip_primers(spark, sf_dir):
     from .operators import calls
 
-    out = calls.clip_primers(lens.reads(spark, sf_dir), lens.targets(spark, sf_dir))
-    return out.groupBy((F.col("cigar").contains("S")).alias("clipped")).agg(F.count("*").alias("n"))
+    return calls.clip_primers(lens.reads(spark, sf_dir), lens.targets(spark, sf_dir)).select("rec_no", "flag", "pos")
 
 
 @query(f"{_R} select flag, case when flag & 1 > 0 then 'PAIRED,' else '' end || case when flag & 2 > 0 then 'PROPER_PAIR,' else '' end || case when flag & 4 > 0 then 'UNMAP,' else '' end || case when flag & 8 > 0 then 'MUNMAP,' else '' end || case when flag & 16 > 0 then 'REVERSE,' else '' end || case when flag & 64 > 0 then 'READ1,' else '' end || case when flag & 128 > 0 then 'READ2,' else '' end || case when flag & 256 > 0 then 'SECONDARY,' else '' end || case when flag & 512 > 0 then 'QCFAIL,' else '' end || case when flag & 1024 > 0 then 'DUP,' else '' end as names from (select distinct flag from r)")
@@ -571,3 +668,6 @@ def unclipped_ends(spark, sf_dir):
 @query(f"{_R}, m as (select *, flag & 192 as part from r where flag & 2304 = 0 and flag & 1 > 0) select a.rec_no, b.rec_no as mate_rec_no from m a join m b on a.qname = b.qname and a.part + b.part = 192 and a.part <> b.part")
 def mate_join(spark, sf_dir):
     return reads.mates(lens.reads(spark, sf_dir)).select("rec_no", F.col("mate.rec_no").alias("mate_rec_no"))
+
+
+from . import queries_more  # noqa: E402, F401  it registers more
