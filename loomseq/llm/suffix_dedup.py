@@ -20,9 +20,15 @@ that are exactly the repeated windows. The passes here:
 
 Both passes give spans of bytes; a document's spans are united. Pass 1 streams
 in constant memory; copies within an input batch are combined before the
-shuffle; pass 2 holds the distinct surroundings of a bounded number of places
-at a time, and a first digit with more of them than that is dealt out once
-more by whole windows.
+shuffle. A first digit that a sample of the documents shows to be frequent is
+dealt out by parts of its second digit too, and all its surroundings go on to
+pass 2, which only costs time if they need not: the sample decides where work
+is done and not what comes out. Pass 2 holds the distinct surroundings of a
+bounded number of places at a time. A first digit with more of them than that,
+or a frequent one, is dealt out once more by whole windows, told apart by
+128-bit digests, of which again a batch sends each only once.
+
+Digits of pass 1 are 64-bit hashes: windows are equal where 128 bits are.
 
 "Earlier" is by (id, start). Defined results: null and empty texts have nothing
 to remove; rows with a null id come after all others; rows that share an id
@@ -41,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_name, materialise
+from .common import Scratch, fresh_name, materialise
 
 DEPTH = 100
 GRAM = 32
@@ -50,6 +56,8 @@ REACH = DEPTH - GRAM
 BLOCK = 1 << 20
 #: Places of pass 2 that a task sorts at a time.
 PLACES = 20_000
+#: One document in so many is sampled for frequent first digits; those found so often count, and at most so many; each is dealt to so many parts.
+SAMPLE, FREQUENT, KEPT, PARTS = 64, 16, 100_000, 64
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.frombuffer(np.random.default_rng(20240229).bytes(8 * 256), np.uint64)
@@ -124,27 +132,26 @@ def united(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return start[new], reach[np.r_[new[1:], True]]
 
 
-_PLACE = "first long, second long, doc long, pos int, stop int"
+_PLACE = "first long, part int, second long, doc long, pos int, stop int"
 
 
 def _emit(columns, names, types=None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
 
-_PLACE_NAMES, _PLACE_TYPES = ["first", "second", "doc", "pos", "stop"], [pa.int64()] * 3 + [pa.int32()] * 2
+_PLACE_NAMES, _PLACE_TYPES = ["first", "part", "second", "doc", "pos", "stop"], [pa.int64(), pa.int32()] + [pa.int64()] * 2 + [pa.int32()] * 2
 
 
-def _read_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Places to sort (stop 0), and spans already known from copies within the batch (stop over 0, spread by a hash)."""
+def _places_of(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(first, second, doc, pos) of the texts' places, some ``most`` at a time."""
     for batch in batches:
         docs = batch.column(0).to_numpy(zero_copy_only=False)
         parts: list = []
         held = 0
         for i in range(batch.num_rows + 1):
-            if held and (i == batch.num_rows or held > 400_000):
+            if held and (i == batch.num_rows or held > most):
                 pos, first, second = (np.concatenate([p[k] for p in parts]) for k in (0, 1, 2))
-                doc = np.repeat([p[3] for p in parts], [len(p[0]) for p in parts])
-                yield from _combined(first, second, doc, pos)
+                yield first, second, np.repeat([p[3] for p in parts], [len(p[0]) for p in parts]), pos
                 parts, held = [], 0
             if i < batch.num_rows and (text := batch.column(1)[i].as_py()):
                 found = places(text.encode("utf-8", "replace"))
@@ -153,14 +160,43 @@ def _read_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     held += len(found[0])
 
 
-def _combined(first, second, doc, pos) -> Iterator[pa.RecordBatch]:
+def _frequent(docs: DataFrame) -> np.ndarray:
+    """First digits that are frequent in a sample of the documents, sorted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for first, *_ in _places_of(batches, 400_000):
+            digits, n = np.unique(first.view(np.int64), return_counts=True)
+            yield _emit((digits, n), ["first", "n"], [pa.int64()] * 2)
+
+    counts = docs.where(F.pmod(F.xxhash64("doc"), F.lit(SAMPLE)) == 0).mapInArrow(run, "first long, n long").groupBy("first").agg(F.sum("n").alias("n"))
+    rows = counts.where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "first").limit(KEPT).toArrow()
+    return np.sort(rows["first"].to_numpy())
+
+
+def _read_places(frequent):
+    """Places to sort (stop 0), and spans already known from copies within the batch (stop over 0, spread by a hash)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in _places_of(batches, 400_000):
+            yield from _combined(*found, frequent.value)
+
+    return run
+
+
+def _is_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values if len(known) else np.zeros(len(values), bool)
+
+
+def _combined(first, second, doc, pos, frequent) -> Iterator[pa.RecordBatch]:
     order = np.lexsort((pos, doc, second, first))
     first, second, doc, pos = first[order], second[order], doc[order], pos[order]
     head = np.r_[True, (first[1:] != first[:-1]) | (second[1:] != second[:-1])]
     lead = np.flatnonzero(head)[np.cumsum(head) - 1]
     again = (doc != doc[lead]) | (pos != pos[lead])
     keep = ~again
-    yield _emit((first[keep].view(np.int64), second[keep].view(np.int64), doc[keep], pos[keep].astype(np.int32), np.zeros(keep.sum(), np.int32)), _PLACE_NAMES, _PLACE_TYPES)
+    digit = first[keep].view(np.int64)
+    part = np.where(_is_in(digit, frequent), 1 + (second[keep] % np.uint64(PARTS)).astype(np.int32), 0).astype(np.int32)
+    yield _emit((digit, part, second[keep].view(np.int64), doc[keep], pos[keep].astype(np.int32), np.zeros(keep.sum(), np.int32)), _PLACE_NAMES, _PLACE_TYPES)
     if again.any():
         d, p = doc[again], pos[again]
         order = np.lexsort((p, d))
@@ -170,45 +206,50 @@ def _combined(first, second, doc, pos) -> Iterator[pa.RecordBatch]:
         ends = np.r_[new[1:], True]
         d, start, stop = d[new], start[new], stop[ends]
         spread = d * np.int64(-7046029254386353131) + start
-        yield _emit((spread, np.zeros(len(d), np.int64), d, start.astype(np.int32), stop.astype(np.int32)), _PLACE_NAMES, _PLACE_TYPES)
+        yield _emit((spread, np.zeros(len(d), np.int32), np.zeros(len(d), np.int64), d, start.astype(np.int32), stop.astype(np.int32)), _PLACE_NAMES, _PLACE_TYPES)
 
 
 #: Pass 1's findings: a span [pos, stop) of doc is repeated, or (stop is 0) the place at pos, of this first digit, needs pass 2.
-_FOUND = "first long, doc long, pos int, stop int"
-_FOUND_NAMES, _FOUND_TYPES = ["first", "doc", "pos", "stop"], [pa.int64()] * 2 + [pa.int32()] * 2
+_FOUND = "first long, part int, doc long, pos int, stop int"
+_FOUND_NAMES, _FOUND_TYPES = ["first", "part", "doc", "pos", "stop"], [pa.int64(), pa.int32(), pa.int64()] + [pa.int32()] * 2
+_SPAN = "doc long, pos int, stop int"
+_SPAN_NAMES, _SPAN_TYPES = ["doc", "pos", "stop"], [pa.int64()] + [pa.int32()] * 2
 
 
 def _sort_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over places sorted by first digit, second digit, doc and pos. Holds two rows from one batch to the next."""
-    held = [np.zeros(0, np.int64)] * 4 + [np.zeros(0, bool)]  # first, second, doc, pos, told
+    """Over places sorted by first digit, part, second digit, doc and pos. Holds two rows from one batch to the next.
+
+    A first digit that is dealt to parts counts as having several second digits.
+    """
+    held = [np.zeros(0, np.int64)] * 5 + [np.zeros(0, bool)]  # first, part, second, doc, pos, told
     for batch in batches:
-        stops = batch.column(4).to_numpy(zero_copy_only=False)
+        stops = batch.column(5).to_numpy(zero_copy_only=False)
         known = stops > 0
-        columns = [batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4)]
+        columns = [batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(5)]
         if known.any():
-            yield _emit((columns[0][known], columns[2][known], columns[3][known].astype(np.int32), stops[known]), _FOUND_NAMES, _FOUND_TYPES)
+            yield _emit((columns[0][known], np.zeros(known.sum(), np.int32), columns[3][known], columns[4][known].astype(np.int32), stops[known]), _FOUND_NAMES, _FOUND_TYPES)
         if known.all():
             continue
         columns = [c[~known] for c in columns]
-        first, second, doc, pos = (np.r_[h, c] for h, c in zip(held, columns))
-        told = np.r_[held[4], np.zeros(len(columns[0]), bool)]
-        one = np.r_[True, first[1:] != first[:-1]]
+        first, part, second, doc, pos = (np.r_[h, c] for h, c in zip(held, columns))
+        told = np.r_[held[5], np.zeros(len(columns[0]), bool)]
+        one = np.r_[True, (first[1:] != first[:-1]) | (part[1:] != part[:-1])]
         two = one | np.r_[True, second[1:] != second[:-1]]
         lead = np.flatnonzero(two)[np.cumsum(two) - 1]
         again = ~two & ((doc != doc[lead]) | (pos != pos[lead]))
         start = np.maximum(pos[again] - REACH, 0)
         group = np.cumsum(one) - 1
         several = np.bincount(group[two], minlength=group[-1] + 1) > 1
-        edge = two & ~told & several[group]
-        yield _emit((first[again], doc[again], start.astype(np.int32), (pos[again] + DEPTH).astype(np.int32)), _FOUND_NAMES, _FOUND_TYPES)
-        yield _emit((first[edge], doc[edge], pos[edge].astype(np.int32), np.zeros(edge.sum(), np.int32)), _FOUND_NAMES, _FOUND_TYPES)
+        edge = two & ~told & (several[group] | (part > 0))
+        yield _emit((first[again], part[again].astype(np.int32), doc[again], start.astype(np.int32), (pos[again] + DEPTH).astype(np.int32)), _FOUND_NAMES, _FOUND_TYPES)
+        yield _emit((first[edge], part[edge].astype(np.int32), doc[edge], pos[edge].astype(np.int32), np.zeros(edge.sum(), np.int32)), _FOUND_NAMES, _FOUND_TYPES)
         # Of the last group, which may go on: its first and its last lead stand for all.
         leads = np.flatnonzero(two & (group == group[-1]))
         keep = np.unique(leads[[0, -1]])
-        held = [c[keep] for c in (first, second, doc, pos)] + [edge[keep] | told[keep]]
+        held = [c[keep] for c in (first, part, second, doc, pos)] + [edge[keep] | told[keep]]
 
 
-_AROUND = "first long, doc long, pos int, size int, around binary"
+_AROUND = "first long, doc long, pos int, size int, around binary, spread boolean"
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,8 +259,8 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             doc, text, wanted = (batch.column(k)[i].as_py() for k in range(3))
             data = text.encode("utf-8", "replace")
             padded = bytes(REACH) + data + bytes(DEPTH)
-            rows = [(w["first"], doc, w["pos"], len(data), padded[w["pos"] : w["pos"] + REACH + DEPTH]) for w in wanted]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["first", "doc", "pos", "size", "around"])
+            rows = [(w["first"], doc, w["pos"], len(data), padded[w["pos"] : w["pos"] + REACH + DEPTH], w["part"] > 0) for w in wanted]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_()))], names=["first", "doc", "pos", "size", "around", "spread"])
 
 
 def radix_repeats(first: np.ndarray, doc: np.ndarray, pos: np.ndarray, size: np.ndarray, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -254,9 +295,6 @@ def radix_repeats(first: np.ndarray, doc: np.ndarray, pos: np.ndarray, size: np.
     return place[later], offset[later]
 
 
-_SPAN = "doc long, pos int, stop int"
-
-
 def _sort_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Over places with their bytes, sorted by first digit, doc and pos: spans, and places of groups too large to hold (stop 0)."""
     held: list = []
@@ -270,7 +308,7 @@ def _sort_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         np.minimum.at(low, place, pos[place] - offset)
         np.maximum.at(high, place, pos[place] - offset + DEPTH)  # windows on one place overlap
         hit = high >= 0
-        return _emit((doc[hit], low[hit].astype(np.int32), high[hit].astype(np.int32)), ["doc", "pos", "stop"], _FOUND_TYPES[1:])
+        return _emit((doc[hit], low[hit].astype(np.int32), high[hit].astype(np.int32)), _SPAN_NAMES, _SPAN_TYPES)
 
     for batch in batches:
         if not batch.num_rows:
@@ -292,45 +330,77 @@ def _sort_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield spans(held)
 
 
+_WINDOW = "high long, low long, doc long, start int, stop int"
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window on a place as (hash, doc, start): the last resort for first digits with very many surroundings."""
+    """Every window on a place by its digest (stop 0), each once in a batch; of windows that a batch has again, spans (stop over 0, spread by a hash)."""
+    names, types = ["high", "low", "doc", "start", "stop"], [pa.int64()] * 3 + [pa.int32()] * 2
     for batch in batches:
-        for first, doc, pos, size, around in zip(*(c.to_pylist() for c in batch.columns)):
-            starts = range(max(0, pos - REACH), min(pos, size - DEPTH) + 1)
-            keys = [hashlib.blake2b(around[REACH + s - pos : REACH + s - pos + DEPTH], digest_size=16).digest() for s in starts]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([doc] * len(keys), pa.int64()), pa.array(starts, pa.int32())], names=["window", "doc", "start"])
+        digests, docs, starts = [], [], []
+        for doc, pos, size, around in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4))):
+            low, high = max(0, pos - REACH), min(pos, size - DEPTH)
+            digests += [hashlib.blake2b(around[k : k + DEPTH], digest_size=16).digest() for k in range(REACH + low - pos, REACH + high - pos + 1)]
+            docs.append((doc, high - low + 1))
+            starts.append(np.arange(low, high + 1))
+        if not digests:
+            continue
+        digest = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+        doc, start = np.repeat([d for d, _ in docs], [n for _, n in docs]), np.concatenate(starts)
+        order = np.lexsort((start, doc, digest[:, 1], digest[:, 0]))
+        digest, doc, start = digest[order], doc[order], start[order]
+        head = np.r_[True, (digest[1:] != digest[:-1]).any(1)]
+        lead = np.flatnonzero(head)[np.cumsum(head) - 1]
+        again = (doc != doc[lead]) | (start != start[lead])
+        yield _emit((digest[head, 0], digest[head, 1], doc[head], start[head].astype(np.int32), np.zeros(head.sum(), np.int32)), names, types)
+        if again.any():
+            d, at = doc[again], start[again]
+            order = np.lexsort((at, d))
+            d, at = d[order], at[order]
+            new = np.r_[True, (d[1:] != d[:-1]) | (at[1:] > at[:-1] + DEPTH)]
+            d, start, stop = d[new], at[new], at[np.r_[new[1:], True]] + DEPTH
+            yield _emit((d * np.int64(-7046029254386353131) + start, np.zeros(len(d), np.int64), d, start.astype(np.int32), stop.astype(np.int32)), names, types)
 
 
 def _first_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over windows sorted by hash, doc and start: a span for each but the first of equal ones."""
-    lead = (None, None, None)
+    """Over windows sorted by digest, doc and start: a span for each but the first of equal ones, and the spans that came along."""
+    held: list = []
     for batch in batches:
-        rows = []
-        for window, doc, start in zip(*(c.to_pylist() for c in batch.columns)):
-            if window != lead[0]:
-                lead = (window, doc, start)
-            elif (doc, start) != lead[1:]:
-                rows.append((doc, start, start + DEPTH))
-        yield _emit(list(zip(*rows)) or [[], [], []], ["doc", "pos", "stop"], _FOUND_TYPES[1:])
+        high, low, doc, start, stop = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns)
+        known = stop > 0
+        if known.any():
+            yield _emit((doc[known], start[known].astype(np.int32), stop[known].astype(np.int32)), _SPAN_NAMES, _SPAN_TYPES)
+        if known.all():
+            continue
+        rows = [c[~known] for c in (high, low, doc, start)]
+        high, low, doc, start = (np.r_[h, c] for h, c in zip(held, rows)) if held else rows
+        head = np.r_[True, (high[1:] != high[:-1]) | (low[1:] != low[:-1])]
+        lead = np.flatnonzero(head)[np.cumsum(head) - 1]
+        again = (doc != doc[lead]) | (start != start[lead])
+        yield _emit((doc[again], start[again].astype(np.int32), (start[again] + DEPTH).astype(np.int32)), _SPAN_NAMES, _SPAN_TYPES)
+        last = lead[-1]
+        held = [c[last : last + 1] for c in (high, low, doc, start)]
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc, spans array<struct<pos,stop>>) for documents (doc long, text) with distinct ids that have repeated windows."""
-    dealt = docs.mapInArrow(_read_places, _PLACE).repartition("first").sortWithinPartitions("first", "second", "doc", "pos")
-    found = materialise(dealt.mapInArrow(_sort_places, _FOUND), "places")
-
-    edges = found.where("stop = 0").groupBy("doc").agg(F.collect_list(F.struct("first", "pos")).alias("wanted"))
-    around = docs.join(edges, "doc").select("doc", "text", "wanted").mapInArrow(_fetch, _AROUND)
-    crowded = materialise(found.where("stop = 0").groupBy("first").count().where(F.col("count") > 10 * PLACES).select("first"), "crowded")
-    spans = found.where("stop > 0").select("doc", "pos", "stop")
-    if crowded.limit(1).count():
-        around = materialise(around, "around")
-        windows = around.join(crowded, "first", "left_semi").mapInArrow(_windows, "window binary, doc long, start int")
-        spans = spans.unionByName(windows.repartition("window").sortWithinPartitions("window", "doc", "start").mapInArrow(_first_windows, _SPAN))
-        around = around.join(crowded, "first", "left_anti")
-    sorted_windows = around.repartition("first").sortWithinPartitions("first", "doc", "pos").mapInArrow(_sort_windows, _SPAN)
-    spans = spans.unionByName(sorted_windows)
-    return spans.groupBy("doc").agg(F.collect_list(F.struct("pos", "stop")).alias("spans"))
+    """(doc, spans array<struct<pos,stop>>) for documents (doc long, text) with distinct ids that have repeated windows. Written, so that nothing of the way there is left."""
+    scratch = Scratch(docs.sparkSession)
+    frequent = docs.sparkSession.sparkContext.broadcast(_frequent(docs))
+    dealt = docs.mapInArrow(_read_places(frequent), _PLACE).repartition("first", "part").sortWithinPartitions("first", "part", "second", "doc", "pos")
+    found = scratch.keep(dealt.mapInArrow(_sort_places, _FOUND), "places")
+
+    edges = found.where("stop = 0")
+    per_first = edges.groupBy("first").count().where(F.col("count") > 2 * PLACES).select("first", F.lit(True).alias("crowded"))
+    crowded = scratch.keep(per_first, "crowded")
+    wanted = edges.groupBy("doc").agg(F.collect_list(F.struct("first", "part", "pos")).alias("wanted"))
+    around = scratch.keep(docs.join(wanted, "doc").select("doc", "text", "wanted").mapInArrow(_fetch, _AROUND).join(crowded, "first", "left").withColumn("spread", F.col("spread") | F.coalesce("crowded", F.lit(False))).drop("crowded"), "around")
+    windows = around.where("spread").select("first", "doc", "pos", "size", "around").mapInArrow(_windows, _WINDOW)
+    by_window = windows.repartition("high").sortWithinPartitions("high", "low", "doc", "start").mapInArrow(_first_windows, _SPAN)
+    by_first = around.where("not spread").drop("spread").repartition("first").sortWithinPartitions("first", "doc", "pos").mapInArrow(_sort_windows, _SPAN)
+    spans = found.where("stop > 0").select("doc", "pos", "stop").unionByName(by_first).unionByName(by_window)
+    out = materialise(spans.groupBy("doc").agg(F.collect_list(F.struct("pos", "stop")).alias("spans")), "spans")
+    scratch.close()
+    return out
 
 
 def _numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame | None]:
@@ -371,7 +441,7 @@ def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def dedup_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (of the remaining bytes)."""
     ids, numbers = _numbered(docs, id_col, text_col)
-    spans = materialise(repeated_spans(ids), "spans")
+    spans = repeated_spans(ids)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     out = ids.join(spans, "doc", "left").select("doc", "text", "spans").mapInArrow(_report, schema)
     if numbers is None:
@@ -402,7 +472,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Rows without anything to cut stay as they are, null texts included.
     """
     ids, numbers = _numbered(docs, id_col, text_col)
-    spans = materialise(repeated_spans(ids), "spans")
+    spans = repeated_spans(ids)
     names = docs.columns
     at = names.index(text_col)
     doc, of_text, cut = (fresh_name(docs, c) for c in ("doc", "of_text", "spans"))

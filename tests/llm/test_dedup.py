@@ -163,6 +163,17 @@ def test_crowded_first_digits_take_the_way_of_whole_windows(spark, monkeypatch):
     assert sorted(((r.doc_id, r.n_removed, r.n_spans, r.kept_sha256) for r in S.dedup_report(df).collect()), key=str) == expected
 
 
+def test_frequent_first_digits_are_dealt_to_parts(spark, monkeypatch):
+    import loomseq.llm.suffix_dedup as S
+
+    monkeypatch.setattr(S, "SAMPLE", 1)
+    monkeypatch.setattr(S, "FREQUENT", 2)
+    texts = passages(3, 40)
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    assert len(S._frequent(df.withColumnRenamed("doc_id", "doc"))) > 5
+    assert sorted(((r.doc_id, r.n_removed, r.n_spans, r.kept_sha256) for r in S.dedup_report(df).collect()), key=str) == brute_repeats(texts)
+
+
 def test_cutting_keeps_whole_characters_and_columns(spark, nasty):
     long = "é" * 60
     df = spark.createDataFrame([(1, "x" + long), (2, "y" + long + "z")], "doc_id long, text string")
