@@ -42,18 +42,21 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While an intermediate table is written, its shuffle files go as soon as it stands, and batches between the JVM and Python stay small: whole texts are in them.
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 
 
 def write_once(df: DataFrame, path: str) -> None:
-    """Write ``df`` as Parquet; the shuffle files it took go as soon as it stands."""
+    """Write ``df`` as Parquet under the settings of ``_WRITING``."""
     conf = df.sparkSession.conf
-    before = conf.get(_RELEASE)
-    conf.set(_RELEASE, "true")
+    before = {k: conf.get(k) for k in _WRITING}
+    for k, v in _WRITING.items():
+        conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        conf.set(_RELEASE, before)
+        for k, v in before.items():
+            conf.set(k, v)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -143,21 +143,26 @@ _PLACE_NAMES, _PLACE_TYPES = ["first", "part", "second", "doc", "pos", "stop"],
 
 
 def _places_of(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(first, second, doc, pos) of the texts' places, some ``most`` at a time."""
+    """(first, second, doc, pos) of the texts' places, some ``most`` at a time, whatever the size of the batches."""
+    parts: list = []
+
+    def told() -> tuple[np.ndarray, ...]:
+        pos, first, second = (np.concatenate([p[k] for p in parts]) for k in (0, 1, 2))
+        return first, second, np.repeat([p[3] for p in parts], [len(p[0]) for p in parts]), pos
+
+    held = 0
     for batch in batches:
         docs = batch.column(0).to_numpy(zero_copy_only=False)
-        parts: list = []
-        held = 0
-        for i in range(batch.num_rows + 1):
-            if held and (i == batch.num_rows or held > most):
-                pos, first, second = (np.concatenate([p[k] for p in parts]) for k in (0, 1, 2))
-                yield first, second, np.repeat([p[3] for p in parts], [len(p[0]) for p in parts]), pos
+        for doc, text in zip(docs.tolist(), batch.column(1)):
+            found = places((text.as_py() or "").encode("utf-8", "replace"))
+            if len(found[0]):
+                parts.append((*found, doc))
+                held += len(found[0])
+            if held > most:
+                yield told()
                 parts, held = [], 0
-            if i < batch.num_rows and (text := batch.column(1)[i].as_py()):
-                found = places(text.encode("utf-8", "replace"))
-                if len(found[0]):
-                    parts.append((*found, int(docs[i])))
-                    held += len(found[0])
+    if parts:
+        yield told()
 
 
 def _frequent(docs: DataFrame) -> np.ndarray:
