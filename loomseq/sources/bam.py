@@ -1,6 +1,11 @@
 """BAM as a PySpark data source: ``spark.read.format("bam")`` and ``df.write.format("bam")``.
 
-A partition is one file, decoded block by block into Arrow batches. Predicates
+A partition is a piece of a file, decoded block by block into Arrow batches.
+Large files are cut at multiples of ``splitBytes``; a piece holds the records
+that start in blocks that begin in it. Its first block is found by its header,
+size and checksum, and the first record there by decoding: all of a record's
+fields and tags, and those of the records after it, have to fit. The number of
+a record in a split file is its virtual offset, else its count. Predicates
 on ``flag``-free columns that a record's fixed part decides (tid, pos, mapq,
 rname) are pushed down and tested before the rest of the record is decoded.
 Paths are URIs that ``pyarrow.fs`` opens; option ``path`` may list several,
@@ -172,18 +177,69 @@ def top_bytes(header: AlignmentHeader) -> bytes:
     return out
 
 
+#: Bytes of a file that make a task, and records that have to follow one another for a piece's first to be found.
+SPLIT_BYTES = 64 << 20
+FOLLOWING = 8
+
+
 @dataclass
 class BamFile(InputPartition):
     uri: str
     file_id: int
+    start: int = 0
+    stop: int = 0  # 0: the whole file
+
+
+def _fits(data: bytes, at: int, lengths: list[int]) -> int | None:
+    """The end of the record at ``at`` if it can be one; -1 if the data ends too early to tell, None if it is none."""
+    if len(data) - at < 36:
+        return -1
+    size, tid, pos, name_size, _, _, n_cigar, _, n_bases, mate_tid, mate_pos, _ = struct.unpack_from("<iiiBBHHHiiii", data, at)
+    known = lambda t, p: -1 <= t < len(lengths) and -1 <= p <= (lengths[t] if t >= 0 else (1 << 31) - 1)
+    if not (known(tid, pos) and known(mate_tid, mate_pos) and name_size > 1 and n_bases >= 0):
+        return None
+    fixed = 32 + name_size + 4 * n_cigar + (n_bases + 1) // 2 + n_bases
+    if not fixed <= size <= 1 << 28:
+        return None
+    name = data[at + 36 : at + 36 + name_size]
+    if len(name) == name_size and (name[-1] or any(not 33 <= c <= 126 for c in name[:-1])):
+        return None
+    if len(data) < at + 4 + size:
+        return -1
+    try:
+        tags = data[at + 4 + fixed : at + 4 + size]
+        if tags and not decode_tags(tags):
+            return None
+    except (KeyError, ValueError, IndexError, struct.error, UnicodeDecodeError):
+        return None
+    return at + 4 + size
+
+
+def _first_record(data: bytes, at: int, lengths: list[int], whole: bool) -> int | None:
+    """The first place from ``at`` on where records follow one another; -1 if more data has to tell, None if there is none. ``whole``: nothing comes after the data."""
+    for start in range(at, len(data)):
+        end, n = start, 0
+        while n < FOLLOWING and end < len(data):
+            to = _fits(data, end, lengths)
+            if to is None or to == -1 and whole:
+                n = -1
+                break
+            if to == -1:
+                return -1
+            end, n = to, n + 1
+        if n == FOLLOWING or n > 0 and whole:
+            return start
+        if n >= 0 and not whole:
+            return -1
+    return None
 
 
 _TESTS = {EqualTo: "eq", GreaterThan: "gt", GreaterThanOrEqual: "ge", LessThan: "lt", LessThanOrEqual: "le"}
 
 
 class BamReader(DataSourceReader):
-    def __init__(self, uris: list[str]):
-        self.uris = uris
+    def __init__(self, uris: list[str], split_bytes: int = SPLIT_BYTES):
+        self.uris, self.split_bytes = uris, split_bytes
         self.tests: list = []
 
     def pushFilters(self, filters):
@@ -197,17 +253,71 @@ class BamReader(DataSourceReader):
                 yield f
 
     def partitions(self):
-        return [BamFile(u, i) for i, u in enumerate(self.uris)]
+        out = []
+        for i, uri in enumerate(self.uris):
+            system, path = _open(uri)
+            size = system.get_file_info(path).size or 0
+            cuts = range(0, size, self.split_bytes) if size > self.split_bytes else [0]
+            out += [BamFile(uri, i, a, min(a + self.split_bytes, size) if len(cuts) > 1 else 0) for a in cuts]
+        return out
+
+    def _whole(self, f) -> Iterator[tuple[int, bytes]]:
+        stream, number = _Stream(bgzf.blocks(f)), 0
+        read_top(stream)
+        while size := stream.take(4):
+            yield number, stream.take(struct.unpack("<i", size)[0])
+            number += 1
+
+    def _piece(self, f, start: int, stop: int, lengths: list[int]) -> Iterator[tuple[int, bytes]]:
+        """(virtual offset, data) of the records that start in the piece."""
+        first = bgzf.first_block(f, start, stop)
+        if first is None:
+            return
+        source = bgzf.placed_blocks(f, first)
+        marks: list[tuple[int, int]] = []  # where in the held data each block begins, and its place in the file
+        data, at, more = b"", None, True
+
+        def another() -> bool:
+            nonlocal data, more
+            place, block = next(source, (0, None))
+            more = block is not None
+            if more:
+                marks.append((len(data), place))
+                data += block
+            return more
+
+        if not first:
+            top = _Stream(iter(lambda: another() and data[marks[-1][0] :] or None, None))
+            read_top(top)
+            at = len(data) - (len(top.data) - top.at)
+        while at is None or at == -1:
+            if not another() and not data:
+                return
+            at = _first_record(data, 0, lengths, not more)
+            if at is None and (not more or marks[-1][1] >= stop):
+                return
+        while True:
+            while len(data) - at < 4 or len(data) - at < 4 + struct.unpack_from("<i", data, at)[0]:
+                if not another():
+                    return
+            begin, place = next(m for m in reversed(marks) if m[0] <= at)
+            if place >= stop:
+                return
+            size = struct.unpack_from("<i", data, at)[0]
+            yield place << 16 | (at - begin), data[at + 4 : at + 4 + size]
+            at += 4 + size
+            if at > 1 << 20:
+                kept = max(i for i, m in enumerate(marks) if m[0] <= at)
+                base = marks[kept][0]
+                data, at, marks[:] = data[base:], at - base, [(b - base, p) for b, p in marks[kept:]]
 
     def read(self, partition: BamFile):
         system, path = _open(partition.uri)
-        with system.open_input_stream(path, compression=None, buffer_size=1 << 20) as f:
-            stream = _Stream(bgzf.blocks(f))
-            names = read_top(stream).references
-            rows, rec_no = [], -1
-            while size := stream.take(4):
-                data = stream.take(struct.unpack("<i", size)[0])
-                rec_no += 1
+        header = read_header(partition.uri)
+        names, lengths = header.references, list(header.lengths)
+        with system.open_input_file(path) as f:
+            rows: list = []
+            for rec_no, data in self._piece(f, partition.start, partition.stop, lengths) if partition.stop else self._whole(f):
                 if self.tests:
                     tid, pos = struct.unpack_from("<ii", data)
                     fixed = {"tid": tid, "pos": pos, "mapq": data[9], "flag": struct.unpack_from("<H", data, 14)[0], "rname": names[tid] if tid >= 0 else None}
@@ -294,7 +404,7 @@ class BamDataSource(DataSource):
                 uris += [f"{p.rstrip('/')}/{i.base_name}" for i in sorted(system.get_file_info(kinds.FileSelector(path)), key=lambda i: i.base_name) if i.base_name.endswith(".bam")]
             else:
                 uris.append(p)
-        return BamReader(uris)
+        return BamReader(uris, int(self.options.get("splitBytes", SPLIT_BYTES)))
 
     def writer(self, schema, overwrite: bool) -> BamWriter:
         return BamWriter(self.options["path"], self.options.get("header", ""))
@@ -305,9 +415,9 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(BamDataSource)
 
 
-def read(spark: SparkSession, *uris: str) -> DataFrame:
+def read(spark: SparkSession, *uris: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     register(spark)
-    return spark.read.format("bam").load(",".join(uris))
+    return spark.read.format("bam").option("splitBytes", split_bytes).load(",".join(uris))
 
 
 def write(reads: DataFrame, header: AlignmentHeader, path: str) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import struct
 import zlib
 from collections.abc import Iterator
@@ -45,6 +46,45 @@ def blocks(stream) -> Iterator[bytes]:
         yield data
 
 
+def first_block(f, start: int, stop: int) -> int | None:
+    """The place of the first block that begins in [start, stop): where a header's size leads to another header or the end, and the data fits its checksum."""
+    f.seek(start)
+    data, at = f.read(stop - start + (1 << 16) + 64), 0
+    while 0 <= (at := data.find(b"\x1f\x8b\x08\x04", at)) < stop - start:
+        if data[at + 12 : at + 16] == b"BC\x02\x00" and data[at + 10 : at + 12] == b"\x06\x00":
+            end = at + struct.unpack("<H", data[at + 16 : at + 18])[0] + 1
+            if data[end : end + 4] in (b"", b"\x1f\x8b\x08\x04"):
+                try:
+                    next(blocks(io.BytesIO(data[at:end])))
+                    return start + at
+                except (ValueError, zlib.error):
+                    pass
+        at += 1
+    return None
+
+
+def placed_blocks(f, at: int) -> Iterator[tuple[int, bytes]]:
+    """(place, data) of each block from the one at ``at`` on."""
+    f.seek(at)
+    told = _Told(f, at)
+    place = at
+    for data in blocks(told):
+        yield place, data
+        place = told.at
+
+
+class _Told:
+    """A stream that tells how far it has been read."""
+
+    def __init__(self, stream, at: int):
+        self.stream, self.at = stream, at
+
+    def read(self, n: int) -> bytes:
+        data = self.stream.read(n)
+        self.at += len(data)
+        return data
+
+
 def is_truncated(data_end: bytes) -> bool:
     """True if a file's last bytes are not the closing empty block."""
     return not data_end.endswith(EOF_BLOCK)

@@ -312,6 +312,32 @@ def test_bam_round_trip(spark, tmp_path):
     assert back.where("tid = 1").count() == 1 and back.where("mapq >= 60 and pos < 50").count() == 1
 
 
+def test_bam_in_pieces(spark, tmp_path):
+    from loomseq.sources import bam
+    from tests.test_records import HEADER as READ_HEADER
+
+    rng = random.Random(5)
+    names = dict(enumerate(READ_HEADER.references))
+    rows = []
+    for i in range(3000):
+        n = rng.choice([0, 5, 30, 150, 150, 20_000 if i % 500 == 7 else 40])
+        seq, qual = "".join(rng.choice("ACGTN") for _ in range(n)), "".join(chr(33 + rng.randrange(60)) for _ in range(n))
+        tid, pos = rng.choice([(-1, -1), (0, rng.randrange(900)), (1, rng.randrange(400))])
+        rows.append({"qname": f"r{i}", "flag": rng.randrange(4096), "tid": tid, "rname": names.get(tid), "pos": pos, "end_pos": pos + max(n, 1), "mapq": rng.randrange(60), "cigar": f"{n}M" if n else "*", "cigar_ops": [{"op": 0, "len": n}] if n else None, "mate_tid": -1, "mate_rname": None, "mate_pos": -1, "tlen": 0, "seq": seq or None, "qual": qual or None, "tags": [("NM", {"type": "i", "i": i, "d": None, "s": None, "a": None}), ("XS", {"type": "Z", "i": None, "d": None, "s": "x" * rng.randrange(9), "a": None})]})
+    body = bam.top_bytes(READ_HEADER) + b"".join(map(bam.encode, rows))
+    (tmp_path / "a.bam").write_bytes(bgzf.compress(body))
+    reader = bam.BamReader([str(tmp_path / "a.bam")])
+    expected = [(r["qname"], r["flag"], r["pos"], r["seq"]) for r in rows]
+    for size in (1 << 40, 5_000, 20_011, 70_000, 200_000):
+        reader.split_bytes = size
+        parts = reader.partitions()
+        got = [r for p in parts for b in reader.read(p) for r in b.to_pylist()]
+        assert [(r["qname"], r["flag"], r["pos"], r["seq"]) for r in got] == expected
+        assert [r["rec_no"] for r in got] == sorted({r["rec_no"] for r in got}) and (len(parts) > 1) == (size < 1 << 40)
+    df = bam.read(spark, str(tmp_path / "a.bam"), split_bytes=50_000)
+    assert df.rdd.getNumPartitions() > 3 and df.where("tid = 1").count() == sum(r["tid"] == 1 for r in rows)
+
+
 def test_md_and_modifications():
     assert md.reference_of("ACGTACGT", "4M2D4M", "2T1^GG4") == "ACtTGGACGT"
     assert md.reference_of("ACGT", "4M", "9") is None
