@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +45,11 @@ def reference_of(seq: str | None, cigar: str | None, md: str | None) -> str | No
     return "".join(out) if k == len(aligned) else None
 
 
+def reference_length(md: str = "md") -> Column:
+    """Reference bases that an MD text tells of: its runs, its mismatches and its deletions."""
+    return F.expr(f"aggregate(regexp_extract_all({md}, '[0-9]+', 0), 0L, (a, n) -> a + cast(n as bigint)) + length(regexp_replace({md}, '[^A-Za-z]', ''))")
+
+
 @F.pandas_udf(T.StringType())
 def reference_sequence(seq: pd.Series, cigar: pd.Series, md: pd.Series) -> pd.Series:
     return pd.Series([reference_of(*v) for v in zip(seq, cigar, md)], dtype=object)

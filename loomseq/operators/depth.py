@@ -297,6 +297,27 @@ def by_cycle(reads: DataFrame) -> DataFrame:
     return at.groupBy("fragment", "cycle").agg(*(F.count_if(base == b.upper()).alias(b) for b in "acgtn"), F.avg(F.ascii(F.substring("q", F.col("cycle"), F.lit(1))) - 33).alias("mean_quality"))
 
 
+def quality_by_cycle(reads: DataFrame) -> DataFrame:
+    """(fragment, cycle, quality, n) of primary reads in machine order."""
+    from .reads import forward_qualities
+
+    rows = reads.where(flags.lacks(0x900) & F.col("qual").isNotNull()).select(F.when(flags.has(0x80), 2).otherwise(1).alias("fragment"), forward_qualities().alias("q"))
+    at = rows.select("fragment", F.posexplode(F.expr("filter(split(q, ''), c -> c <> '')")).alias("at", "c"))
+    return at.groupBy("fragment", (F.col("at") + 1).alias("cycle"), (F.ascii("c") - 33).alias("quality")).agg(F.count("*").alias("n"))
+
+
+def coverage_distribution(reads: DataFrame, **options) -> DataFrame:
+    """(depth, positions): how many positions have each depth, from runs of equal depth."""
+    return runs(covered_blocks(filtered(reads, **options))).groupBy("depth").agg(F.sum(F.col("stop") - F.col("start")).alias("positions"))
+
+
+def indels_by_cycle(reads: DataFrame) -> DataFrame:
+    """(fragment, cycle, insertions, deletions) of primary reads: insertions at their first base, deletions at the base before, in machine order."""
+    each = F.expr(f"transform(filter({cigar.placed()}, o -> o.op in (1, 2)), o -> named_struct('op', o.op, 'at', case when o.op = 1 and flag & 16 = 0 then o.query when o.op = 1 then length(seq) - o.query - o.len when flag & 16 = 0 then o.query - 1 else length(seq) - o.query - 1 end))")
+    rows = reads.where(flags.lacks(0x900) & F.col("cigar_ops").isNotNull() & F.col("seq").isNotNull()).select(F.when(flags.has(0x80), 2).otherwise(1).alias("fragment"), F.explode(each).alias("i")).where("i.at >= 0")
+    return rows.groupBy("fragment", (F.col("i.at") + 1).cast("bigint").alias("cycle")).agg(F.count_if(F.col("i.op") == 1).alias("insertions"), F.count_if(F.col("i.op") == 2).alias("deletions"))
+
+
 def _products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows (rg, three residues, n) each batch's count and products by group."""
     for batch in batches:

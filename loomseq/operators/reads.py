@@ -269,6 +269,13 @@ def split(reads: DataFrame, path: str, by: str = "RG") -> None:
     sam.lines(reads, key.alias(by)).write.partitionBy(by).text(path)
 
 
+def with_long_names(reads: DataFrame) -> DataFrame:
+    """Adds the fields under their long names, and the derived lengths and ends under their old short ones."""
+    long = {"query_name": "qname", "reference_id": "tid", "reference_name": "rname", "reference_start": "pos", "mapping_quality": "mapq", "cigarstring": "cigar", "next_reference_id": "mate_tid", "next_reference_start": "mate_pos", "template_length": "tlen", "query_sequence": "seq", "query_qualities_str": "qual"}
+    short = {"mrnm": F.col("mate_tid"), "mpos": F.col("mate_pos"), "isize": F.col("tlen"), "aend": cigar.reference_end(), "alen": cigar.reference_length(), "rlen": F.length("seq").cast("bigint"), "qstart": cigar.query_alignment_start(), "qend": cigar.query_alignment_end()}
+    return reads.withColumns({n: F.col(c) for n, c in long.items()} | short | {"qlen": short["qend"] - short["qstart"]})
+
+
 def mates(reads: DataFrame) -> DataFrame:
     """Each paired primary read with its mate: the read's columns and ``mate_*`` of the other of the pair (file_id, rec_no, pos, ...)."""
     primary = reads.where(flags.lacks(0x900) & flags.has(1))

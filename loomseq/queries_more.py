@@ -9,7 +9,7 @@ from .operators import calls, depth, order, reads, variants
 from .plans.settings import scratch_path
 from .plans.variant_expr import compile_expression
 from .queries import _LONG_GT, _MAPPED, _PRIMARY, _R, _V, _BASES, _GOOD, query
-from .sources import bam, fastx, intervals, sam, vcf
+from .sources import bam, fastx, intervals, laid, sam, vcf
 
 # Expressions over a site's values, and the same in SQL over the lens's columns.
 _SITE = {
@@ -273,3 +273,54 @@ def interval_outer(spark, sf_dir):
 def flag_accessors(spark, sf_dir):
     mapped = flags.accessor("is_mapped") & ~flags.accessor("is_secondary") & ~flags.accessor("is_supplementary")
     return lens.reads(spark, sf_dir).select("rec_no", mapped.alias("mapped"), *(flags.accessor(n).alias(n) for n in ("is_paired", "is_read1", "is_forward", "mate_is_forward")))
+
+
+@query(f"{_R} select qname, pos, flag from r where rname = 'chr3' and pos < 9000 and pos + span > 7000")
+def laid_fetch(spark, sf_dir):
+    """Reads laid out by place, and a region of them."""
+    path = scratch_path(spark, "laid")
+    laid.write(lens.reads(spark, sf_dir), path)
+    return reads.fetch(laid.read(spark, path), "chr3:7,001-9,000").select("qname", "pos", "flag")
+
+
+@query(f"{_R} select case when flag & 128 > 0 then 2 else 1 end as fragment, i::int as cycle, ascii(substr(q, cast(i as int), 1)) - 33 as quality, count(*) as n from (select flag, case when flag & 16 > 0 then reverse(qual) else qual end as q, unnest(range(1, qlen + 1)) as i from r where {_PRIMARY}) group by 1, 2, 3")
+def quality_by_cycle(spark, sf_dir):
+    return depth.quality_by_cycle(lens.reads(spark, sf_dir))
+
+
+@query(f"{_R} select n as depth, count(*) as positions from (select rname, p_, count(*) as n from {_BASES} where {_GOOD} group by 1, 2) group by 1")
+def coverage_distribution(spark, sf_dir):
+    return depth.coverage_distribution(lens.reads(spark, sf_dir))
+
+
+@query(f"{_R} select case when flag & 128 > 0 then 2 else 1 end as fragment, (case when k = 3 and flag & 16 = 0 then a + 1 when k = 3 then qlen - a - 1 when flag & 16 = 0 then a else qlen - a end)::bigint as cycle, sum((k = 3)::int)::bigint as insertions, sum((k = 1)::int)::bigint as deletions from r where {_PRIMARY} and k in (1, 3) group by 1, 2")
+def indels_by_cycle(spark, sf_dir):
+    return depth.indels_by_cycle(lens.reads(spark, sf_dir))
+
+
+@query(f"{_R} select rec_no, (qlen + case k when 1 then 2 when 2 then -3 when 3 then -2 else 0 end)::bigint as told from r")
+def md_reference_length(spark, sf_dir):
+    from .functions.md import reference_length
+
+    told = calls.recompute_md(lens.reads(spark, sf_dir), fastx.chunked(reference(spark))).select("rec_no", reads.tag("MD")["s"].alias("md"))
+    return told.select("rec_no", reference_length().alias("told"))
+
+
+@query(f"{_R} select qname as query_name, tid as reference_id, pos as reference_start, mate_pos as mpos, case when flag & 4 > 0 then null else pos + span end as aend, span::bigint as alen, qlen::bigint as rlen, (case when k = 2 then 3 else 0 end)::bigint as qstart, qlen::bigint as qend, (qlen - case when k = 2 then 3 else 0 end)::bigint as qlen from r")
+def long_names(spark, sf_dir):
+    out = reads.with_long_names(lens.reads(spark, sf_dir))
+    return out.select("query_name", "reference_id", "reference_start", "mpos", "aend", "alen", "rlen", *(F.col(c).cast("bigint").alias(c) for c in ("qstart", "qend", "qlen")))
+
+
+@query(f"{_V} select rec_no, case when g1 in (1, 2) or g2 in (1, 2) or g3 in (1, 2) then string_split(alt, ',')[1] else '' end as alts from v")
+def trimmed_alleles(spark, sf_dir):
+    return variants.trim_alleles(lens.variants(spark, sf_dir), lens.VCF_HEADER).select("rec_no", F.array_join("alts", ",").alias("alts"))
+
+
+@query(f"""{_V}, i as (select *, (case g1 when 1 then 1 when 2 then 2 else 0 end + case g2 when 1 then 1 when 2 then 2 else 0 end + case g3 when 1 then 1 when 2 then 2 else 0 end) as carried from v where length(string_split(alt, ',')[1]) <> length(ref) or (alt like '%,%' and length(string_split(alt, ',')[2]) <> length(ref))),
+p as (select *, max(pos + length(ref)) over (partition by chrom order by pos, rec_no rows between unbounded preceding and 1 preceding) as reach from i),
+c as (select *, sum(case when reach is null or pos >= reach + 100 then 1 else 0 end) over (partition by chrom order by pos, rec_no rows unbounded preceding) as cluster from p),
+k as (select *, row_number() over (partition by chrom, cluster order by qual desc nulls last, carried desc, pos, rec_no) as i from c)
+select rec_no from k where i > 1""")
+def indel_gap(spark, sf_dir):
+    return variants.indel_gap(lens.variants(spark, sf_dir), 100).where(F.array_contains("filters", "IndelGap")).select("rec_no")

@@ -52,28 +52,101 @@ def records(lines: Iterator[str]) -> Iterator[tuple[str, str | None, str, str |
         yield name, comment or None, bases, "".join(quals)
 
 
+#: Bytes of a plain file that make a task.
+SPLIT_BYTES = 64 << 20
+
+
+def lines_between(lines: Iterator[tuple[int, bytes]], start: int, stop: int, four_lines: bool) -> Iterator[str]:
+    """Of lines with their places, from the first record that starts at ``start`` or later on, those of records that start before ``stop``.
+
+    A FASTA record starts with ``>``. FASTQ of four lines a record is known by
+    its third line and the equal lengths of the second and the fourth: no other
+    line with ``@`` has such neighbours.
+    """
+    if not four_lines:
+        inside = False
+        for at, line in lines:
+            if line[:1] == b">" and at >= start:
+                if at >= stop:
+                    return
+                inside = True
+            if inside:
+                yield line.decode("utf-8", "replace")
+        return
+    ahead: list[tuple[int, bytes]] = []
+    aligned = False
+    for place in lines:
+        ahead.append(place)
+        if len(ahead) < 4:
+            continue
+        if not aligned:
+            head, seq, plus, qual = (line.rstrip(b"\r\n") for _, line in ahead)
+            aligned = ahead[0][0] >= start and head[:1] == b"@" and plus[:1] == b"+" and len(seq) == len(qual)
+            if not aligned:
+                ahead.pop(0)
+                continue
+        if ahead[0][0] >= stop:
+            return
+        yield from (line.decode("utf-8", "replace") for _, line in ahead)
+        ahead = []
+
+
 @dataclass
 class FastxFile(InputPartition):
     uri: str
+    start: int = 0
+    stop: int = 0  # 0: the whole file
 
 
 class FastxReader(DataSourceReader):
-    def __init__(self, uris: list[str]):
-        self.uris = uris
+    """Plain FASTA files, and FASTQ files where told that records have four lines, are read in pieces; the others by one task each."""
+
+    def __init__(self, uris: list[str], four_lines: bool = False, split_bytes: int = SPLIT_BYTES):
+        self.uris, self.four_lines, self.split_bytes = uris, four_lines, split_bytes
 
     def partitions(self):
-        return [FastxFile(u) for u in self.uris]
+        from .bam import _open
+
+        out = []
+        for uri in self.uris:
+            system, path = _open(uri)
+            size = system.get_file_info(path).size or 0
+            if size > self.split_bytes:
+                with system.open_input_stream(path, compression=None) as f:
+                    mark = f.read(1)
+                if mark == b">" or mark == b"@" and self.four_lines:
+                    out += [FastxFile(uri, a, min(a + self.split_bytes, size)) for a in range(0, size, self.split_bytes)]
+                    continue
+            out.append(FastxFile(uri))
+        return out
+
+    def _lines(self, f, start: int) -> Iterator[tuple[int, bytes]]:
+        """Whole lines from ``start`` on; one that began before is left out."""
+        at = max(start - 1, 0)
+        f.seek(at)
+        raw = io.BufferedReader(_Raw(f), 1 << 20)
+        if start:
+            at += len(raw.readline())
+        for line in raw:
+            yield at, line
+            at += len(line)
+
+    def _texts(self, partition: FastxFile, f) -> Iterator[str]:
+        if partition.stop:
+            f.seek(0)
+            return lines_between(self._lines(f, partition.start), partition.start, partition.stop, f.read(1) == b"@")
+        raw = io.BufferedReader(_Raw(f), 1 << 20)
+        if raw.peek(2)[:2] == b"\x1f\x8b":
+            raw = gzip.GzipFile(fileobj=raw)
+        return io.TextIOWrapper(raw, "utf-8", "replace")
 
     def read(self, partition: FastxFile):
         from .bam import _open
 
         system, path = _open(partition.uri)
-        with system.open_input_stream(path, compression=None) as f:
-            raw = io.BufferedReader(_Raw(f), 1 << 20)
-            if raw.peek(2)[:2] == b"\x1f\x8b":
-                raw = gzip.GzipFile(fileobj=raw)
+        with system.open_input_file(path) as f:
             rows, size = [], 0
-            for record in records(io.TextIOWrapper(raw, "utf-8", "replace")):
+            for record in records(self._texts(partition, f)):
                 rows.append(dict(zip(_SCHEMA.names, record)))
                 size += len(record[2])
                 if len(rows) >= 10_000 or size > 8 << 20:
@@ -107,13 +180,13 @@ class FastxDataSource(DataSource):
         return FASTX
 
     def reader(self, schema) -> FastxReader:
-        return FastxReader(self.options["path"].split(","))
+        return FastxReader(self.options["path"].split(","), self.options.get("fourLines", "false").lower() == "true", int(self.options.get("splitBytes", SPLIT_BYTES)))
 
 
-def read(spark: SparkSession, *uris: str) -> DataFrame:
-    """(name, comment, seq, qual) of FASTA or FASTQ files, gzipped or not; qual is null for FASTA."""
+def read(spark: SparkSession, *uris: str, four_lines: bool = False, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """(name, comment, seq, qual) of FASTA or FASTQ files, gzipped or not; qual is null for FASTA. ``four_lines``: FASTQ records are known to have four, so that large files can be split."""
     spark.dataSource.register(FastxDataSource)
-    return spark.read.format("fastx").load(",".join(uris))
+    return spark.read.format("fastx").option("fourLines", str(four_lines)).option("splitBytes", split_bytes).load(",".join(uris))
 
 
 def text(df: DataFrame) -> DataFrame:

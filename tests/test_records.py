@@ -7,7 +7,7 @@ from loomseq import cigar, flags, regions
 from loomseq.headers import AlignmentHeader
 from loomseq.operators import depth, order, pileup, reads
 from loomseq.plans.alignment_expr import ExpressionError, compile_filter
-from loomseq.sources import sam
+from loomseq.sources import fastx, sam
 from pyspark.sql import functions as F
 
 HEADER = AlignmentHeader.from_text("@HD\tVN:1.6\n@SQ\tSN:c1\tLN:1000\n@SQ\tSN:c2\tLN:500\n@RG\tID:g1\tSM:s\tLB:l1\n@RG\tID:g2\tSM:s\tLB:l2\n@CO\tnote: a comment\n")
@@ -291,3 +291,28 @@ def test_header_round_trip():
     with pytest.raises(KeyError):
         HEADER.get_reference_length("zz")
     assert AlignmentHeader.from_references(["x"], [5]).to_dict() == {"SQ": [{"SN": "x", "LN": 5}]}
+
+
+def test_plain_sequence_files_are_read_in_pieces(spark, tmp_path):
+    rng = random.Random(3)
+    seq = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    fasta = [(f"c{i} x", seq(rng.randrange(0, 400))) for i in range(50)]
+    fastq = [(f"r{i}", s := seq(rng.randrange(1, 60)), "".join(rng.choice("@+>I") for _ in s)) for i in range(300)]
+    (tmp_path / "a.fa").write_text("".join(f">{n}\n" + "".join(s[k : k + 60] + "\n" for k in range(0, len(s), 60)) for n, s in fasta))
+    (tmp_path / "b.fq").write_text("".join(f"@{n}\n{s}\n+\n{q}\n" for n, s, q in fastq))
+    for size in (100, 777, 5000):
+        got = fastx.read(spark, str(tmp_path / "a.fa"), split_bytes=size)
+        assert sorted((r.name, r.seq) for r in got.collect()) == sorted((n.split()[0], s) for n, s in fasta)
+        got = fastx.read(spark, str(tmp_path / "b.fq"), four_lines=True, split_bytes=size)
+        assert got.rdd.getNumPartitions() > 1
+        assert sorted((r.name, r.seq, r.qual) for r in got.collect()) == sorted(fastq)
+
+
+def test_a_region_of_a_laid_out_table_prunes(spark, table, tmp_path):
+    from loomseq.sources import laid
+
+    laid.write(table, str(tmp_path / "laid"), files=2)
+    got = reads.fetch(laid.read(spark, str(tmp_path / "laid")), contig="c1", start=10, stop=20)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(pos,20)" in plan and "GreaterThan(end_pos,10)" in plan
+    assert sorted(r.rec_no for r in got.collect()) == sorted(r.rec_no for r in reads.fetch(table, contig="c1", start=10, stop=20).collect())
