@@ -71,7 +71,8 @@ def ranked(df: DataFrame, keys: list[Column], name: str = "rank") -> DataFrame:
     pieces and moved by the sizes of the pieces before, so no task holds all of
     them. The edges are values: a recomputed piece is the same piece.
     """
-    keyed = df.withColumn("_key", F.struct(*(k.alias(f"k{i}") for i, k in enumerate(keys))))
+    # The key comes out of a generator: otherwise each comparison with an edge would make it anew.
+    keyed = df.select("*", F.explode(F.array(F.struct(*(k.alias(f"k{i}") for i, k in enumerate(keys))))).alias("_key"))
     sample = keyed.select("_key").orderBy(F.xxhash64("_key")).limit(PIECES * SAMPLED).orderBy("_key").collect()
     edges = [_literal(r["_key"], keyed.schema["_key"].dataType) for r in sample[SAMPLED::SAMPLED]]
     piece = F.size(F.filter(F.array(*edges), lambda e: e <= F.col("_key"))) if edges else F.lit(0)
