@@ -257,16 +257,17 @@ def test_sketches_never_differ_by_more_than_the_sets():
             assert sketch_distance(parity_sketch(a), parity_sketch(a)) == 0
 
 
-def test_stars_across_batches():
-    from loomseq.llm.jaccard import _stars
+def test_shared_rows_across_batches():
+    from loomseq.llm.jaccard import _shared
 
     rng = np.random.default_rng(4)
-    rows = sorted((int(k), int(c)) for k, c in zip(rng.integers(0, 12, 300), rng.integers(0, 40, 300)))
-    names = ["key", "class", "n", "pos"]
-    for size in (1, 2, 3, 7, 300):
-        batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*((k, c, c, 0) for k, c in rows[i : i + size])), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=names) for i in range(0, 300, size)]
-        got = [(r["key"], r["class"], r["lead"], r["lead_n"]) for b in _stars(iter(batches)) for r in b.to_pylist()]
-        least = {}
+    for seed in range(5):
+        rows = sorted((int(k), int(c)) for k, c in zip(rng.integers(0, 60, 300), rng.integers(0, 8 * (seed + 1), 300)))
+        names = ["key", "class", "n", "pos"]
+        classes = {}
         for k, c in rows:
-            least.setdefault(k, c)
-        assert got == [(k, c, least[k], least[k]) for k, c in sorted(set(rows)) if c != least[k]]
+            classes.setdefault(k, set()).add(c)
+        for size in (1, 2, 3, 7, 300):
+            batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*((k, c, c, 0) for k, c in rows[i : i + size])), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=names) for i in range(0, 300, size)]
+            got = sorted((r["key"], r["class"]) for b in _shared(iter(batches)) for r in b.to_pylist())
+            assert got == sorted((k, c) for k, cs in classes.items() if len(cs) > 1 for c in cs)
