@@ -24,9 +24,9 @@ shuffle. A first digit that a sample of the documents shows to be frequent is
 dealt out by parts of its second digit too, and all its surroundings go on to
 pass 2, which only costs time if they need not: the sample decides where work
 is done and not what comes out. Pass 2 holds the distinct surroundings of a
-bounded number of places at a time. A first digit with more of them than that,
-or a frequent one, is dealt out once more by whole windows, told apart by
-128-bit digests, of which again a batch sends each only once.
+bounded number of places at a time. A first digit with more of them than that
+is dealt out once more by whole windows, told apart by 128-bit digests, of which
+again a batch sends each only once.
 
 Digits of pass 1 are 64-bit hashes: windows are equal where 128 bits are.
 
@@ -254,7 +254,7 @@ def _sort_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [c[keep] for c in (first, part, second, doc, pos)] + [edge[keep] | told[keep]]
 
 
-_AROUND = "first long, doc long, pos int, size int, around binary, spread boolean"
+_AROUND = "first long, doc long, pos int, size int, around binary"
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,8 +264,8 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             doc, text, wanted = (batch.column(k)[i].as_py() for k in range(3))
             data = text.encode("utf-8", "replace")
             padded = bytes(REACH) + data + bytes(DEPTH)
-            rows = [(w["first"], doc, w["pos"], len(data), padded[w["pos"] : w["pos"] + REACH + DEPTH], w["part"] > 0) for w in wanted]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.bool_()))], names=["first", "doc", "pos", "size", "around", "spread"])
+            rows = [(w["first"], doc, w["pos"], len(data), padded[w["pos"] : w["pos"] + REACH + DEPTH]) for w in wanted]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["first", "doc", "pos", "size", "around"])
 
 
 def radix_repeats(first: np.ndarray, doc: np.ndarray, pos: np.ndarray, size: np.ndarray, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -395,13 +395,13 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     found = scratch.keep(dealt.mapInArrow(_sort_places, _FOUND), "places")
 
     edges = found.where("stop = 0")
-    per_first = edges.groupBy("first").count().where(F.col("count") > 2 * PLACES).select("first", F.lit(True).alias("crowded"))
+    per_first = edges.groupBy("first").count().where(F.col("count") > 2 * PLACES).select("first")
     crowded = scratch.keep(per_first, "crowded")
-    wanted = edges.groupBy("doc").agg(F.collect_list(F.struct("first", "part", "pos")).alias("wanted"))
-    around = scratch.keep(docs.join(wanted, "doc").select("doc", "text", "wanted").mapInArrow(_fetch, _AROUND).join(crowded, "first", "left").withColumn("spread", F.col("spread") | F.coalesce("crowded", F.lit(False))).drop("crowded"), "around")
-    windows = around.where("spread").select("first", "doc", "pos", "size", "around").mapInArrow(_windows, _WINDOW)
+    wanted = edges.groupBy("doc").agg(F.collect_list(F.struct("first", "pos")).alias("wanted"))
+    around = scratch.keep(docs.join(wanted, "doc").select("doc", "text", "wanted").mapInArrow(_fetch, _AROUND), "around")
+    windows = around.join(crowded, "first", "left_semi").mapInArrow(_windows, _WINDOW)
     by_window = windows.repartition("high").sortWithinPartitions("high", "low", "doc", "start").mapInArrow(_first_windows, _SPAN)
-    by_first = around.where("not spread").drop("spread").repartition("first").sortWithinPartitions("first", "doc", "pos").mapInArrow(_sort_windows, _SPAN)
+    by_first = around.join(crowded, "first", "left_anti").repartition("first").sortWithinPartitions("first", "doc", "pos").mapInArrow(_sort_windows, _SPAN)
     spans = found.where("stop > 0").select("doc", "pos", "stop").unionByName(by_first).unionByName(by_window)
     out = materialise(spans.groupBy("doc").agg(F.collect_list(F.struct("pos", "stop")).alias("spans")), "spans")
     scratch.close()
