@@ -10,7 +10,7 @@ from ..sources.fastx import CHUNK
 from .reads import mixed, name_hash
 
 
-def pileup_bases(reads: DataFrame, stepper: str = "default", ignore_overlaps: bool = True, ignore_orphans: bool = True, flag_filter: int = flags.EXCLUDED, flag_require: int = 0, min_mapq: int = 0, where: Column | None = None) -> DataFrame:
+def pileup_bases(reads: DataFrame, stepper: str = "default", ignore_overlaps: bool = True, ignore_orphans: bool = True, flag_filter: int = flags.EXCLUDED, flag_require: int = 0, min_mapq: int = 0, where: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per read and reference position that it spans.
 
     Columns: rname, tid, pos, file_id, rec_no, qname, flag, mapq, query (null in
@@ -18,7 +18,7 @@ def pileup_bases(reads: DataFrame, stepper: str = "default", ignore_overlaps: bo
     of the insertion, or less that of the deletion, that follows), insert (its
     bases), is_head, is_tail. Stepper ``all`` leaves out ``flag_filter``,
     ``nofilter`` only unmapped reads, ``default`` orphans too if told so;
-    ``flag_require`` asks for any of its bits.
+    ``flag_require`` asks for any of its bits, ``keep`` for more columns of the reads.
     """
     test = flags.lacks(4) & F.col("cigar_ops").isNotNull() & (F.col("mapq") >= min_mapq)
     if stepper in ("all", "default"):
@@ -37,7 +37,7 @@ def pileup_bases(reads: DataFrame, stepper: str = "default", ignore_overlaps: bo
         "transform(x, (o, i) -> named_struct('o', o, 'ins', aggregate(slice(x, i + 2, size(x)), named_struct('n', 0, 'on', true), (a, p) -> named_struct('n', a.n + if(a.on and p.op = 1, p.len, 0), 'on', a.on and p.op in (1, 6)), a -> a.n),"
         " 'del', aggregate(slice(x, i + 2, size(x)), named_struct('n', 0, 'on', true), (a, p) -> named_struct('n', a.n + if(a.on and p.op = 2, p.len, 0), 'on', a.on and p.op = 2), a -> a.n)))"
     )
-    more = ["_may", "_over"] if mates else []
+    more = [*keep, *(["_may", "_over"] if mates else [])]
     placed = kept.select(*more, "rname", "tid", "file_id", "rec_no", "qname", "flag", "mapq", "seq", "qual", "pos", F.expr(f"{cigar._sum('cigar_ops', cigar.REF)}").alias("span"), F.expr(ops).alias("x"))
     each = F.expr(
         f"flatten(transform(filter({follow}, w -> w.o.op in {cigar.REF}), w -> transform(sequence(0, w.o.len - 1), k -> named_struct('pos', w.o.ref + k, 'query', if(w.o.op in (2,3), null, w.o.query + k),"
@@ -130,17 +130,19 @@ def mpileup(bases: DataFrame, ref_chunks: DataFrame | None = None, min_base_qual
 AMBIGUITY = {"A": "A", "C": "C", "G": "G", "T": "T", "M": "AC", "R": "AG", "W": "AT", "S": "CG", "Y": "CT", "K": "GT", "V": "ACG", "H": "ACT", "D": "AGT", "B": "CGT", "N": "ACGT"}
 
 
-def simple_consensus(bases: DataFrame, call_fraction: float = 0.75, het_fraction: float = 0.15, min_depth: int = 1, min_base_quality: int = 0, ambiguous: bool = True) -> DataFrame:
+def simple_consensus(bases: DataFrame, call_fraction: float = 0.75, het_fraction: float = 0.15, min_depth: int = 1, min_base_quality: int = 0, ambiguous: bool = True, times: str | None = None) -> DataFrame:
     """(rname, pos, base, depth, share): the weighted majority of each column.
 
     A pure base weighs 8 and an ambiguity letter its bases' shares of it; two
     bases that together reach the call's fraction, the second at least
     ``het_fraction`` of the first, give their ambiguity letter; a gap may win as ``*``.
+    A row counts as often as its column ``times`` says, where one is named.
     """
     rows = bases.where(~F.col("is_refskip") & (F.col("is_del") | (F.coalesce(F.col("q"), F.lit(0)) >= min_base_quality)))
     letter = F.when(F.col("is_del"), "*").otherwise(F.upper("base"))
     weight = lambda b: sum((F.when(letter == k, 8.0 / len(v)).otherwise(0.0) for k, v in AMBIGUITY.items() if b in v), F.lit(0.0))
-    sums = rows.groupBy("rname", "pos").agg(F.count("*").alias("depth"), *(F.sum(weight(b)).alias(b) for b in "ACGT"), F.sum(F.when(letter == "*", 8.0).otherwise(0.0)).alias("gap"))
+    n = F.col(times).cast("bigint") if times else F.lit(1)
+    sums = rows.groupBy("rname", "pos").agg((F.sum(n) if times else F.count("*")).alias("depth"), *(F.sum(n * weight(b)).alias(b) for b in "ACGT"), F.sum(n * F.when(letter == "*", 8.0).otherwise(0.0)).alias("gap"))
     ranked = F.reverse(F.array_sort(F.array(*(F.struct(F.col(c).alias("w"), F.lit(b).alias("b")) for b, c in (("A", "A"), ("C", "C"), ("G", "G"), ("T", "T"), ("*", "gap"))))))
     total = F.col("A") + F.col("C") + F.col("G") + F.col("T") + F.col("gap")
     out = sums.withColumns({"_r": ranked, "_t": total})
