@@ -10,18 +10,20 @@ shingles, where a shingle weighs as often as it occurs.
 Two things spare most windows their fingerprint, and neither loses a match. A
 window and an item, of m and n shingles, can only reach the similarity s with
 at least s (m + n) / (1 + s) shingles in common; so places whose shingle is one
-of any item's are marked first, and windows with fewer marked places are left
-out - whatever item they may resemble and in whatever order its words come. And
-of windows that slide over one another only those count that begin at a marked
-place, and the document's last: sliding on from an unmarked place gives no
-shared shingle away.
+of any item's are marked first, for the lengths of those items, and windows of a
+length with fewer places marked for it are left out - whatever item they may
+resemble and in whatever order its words come. And of windows that slide over
+one another only those count that begin at a place marked for their length, and
+the document's last: sliding on from an unmarked place gives no shared shingle
+away.
 
 The whole path is DataFrame functions. Documents are not shuffled: positions
 are generated, hashed and held against the items' shingles in one stage of
-generated code, with the distinct shingles broadcast if they number no more
-than ``BROADCAST_SHINGLES`` (about 30 bytes each) and joined by shuffle
-otherwise; the same holds for the documents with enough marked places, whose
-words are read again.
+generated code, with the distinct shingles of each length broadcast if they
+number no more than ``BROADCAST_SHINGLES`` (about 30 bytes each) and joined by
+shuffle otherwise; the same holds for the documents with enough marked places,
+whose words are read again. Windows keep their words and are fingerprinted where
+they are cut; shingles are made again only for pairs within the radius.
 
 The radius of 24 is five standard deviations beyond the distance that a
 similarity of 0.8 gives (9.7 of 64 bits, deviation 2.9).
@@ -104,18 +106,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     split = source.select("doc_id", "of_text", words_of(F.col("text")).alias("words"))
     marked = None
     for k in [r.k for r in items.select("k").distinct().collect()]:  # 1 to 5
-        at = items.where(F.col("k") == k).select("item_words", F.explode(F.sequence(F.lit(0), F.size("item_words") - k)).alias("q"))
-        wanted = scratch.keep(at.select(_hash(F.col("item_words"), F.col("q"), k).alias("h")).distinct(), "shingles")
+        at = items.where(F.col("k") == k).select("item_words", "length", F.explode(F.sequence(F.lit(0), F.size("item_words") - k)).alias("q"))
+        wanted = scratch.keep(at.select(_hash(F.col("item_words"), F.col("q"), k).alias("h"), "length").distinct(), "shingles")
         placed = split.where(F.size("words") >= k).select("doc_id", "of_text", "words", F.size("words").alias("n_words"), F.explode(F.sequence(F.lit(0), F.size("words") - k)).alias("p"))
         placed = placed.select("doc_id", "of_text", "n_words", "p", _hash(F.col("words"), F.col("p"), k).alias("h"))
-        met = placed.join(_within(wanted, BROADCAST_SHINGLES), "h").select("doc_id", "of_text", "n_words", F.lit(k).alias("k"), "p")
+        met = placed.join(_within(wanted, BROADCAST_SHINGLES), "h").select("doc_id", "of_text", "n_words", F.lit(k).alias("k"), "length", "p")
         marked = met if marked is None else marked.unionByName(met)
     if marked is None:
         return source.select("doc_id", "of_text", F.lit(None).cast(benchmark.schema[item_col].dataType).alias("item_id"), F.lit(0).cast("long").alias("n_windows"), F.lit(0).alias("start_word"), F.lit(0.0).alias("similarity")).where("false")
 
-    lengths = items.select("k", "length", (F.col("length") - F.col("k") + 1).alias("n")).distinct()
-    at = marked.groupBy("doc_id", "of_text", "k").agg(F.first("n_words").alias("n_words"), F.sort_array(F.collect_set("p")).alias("at"))
-    per_length = at.join(lengths, "k").withColumn("last", F.greatest(F.col("n_words") - F.col("length"), F.lit(0)))
+    at = marked.groupBy("doc_id", "of_text", "k", "length").agg(F.first("n_words").alias("n_words"), F.sort_array(F.collect_set("p")).alias("at"))
+    per_length = at.withColumns({"n": F.col("length") - F.col("k") + 1, "last": F.greatest(F.col("n_words") - F.col("length"), F.lit(0))})
     size = F.least(F.col("n"), F.col("n_words") - F.col("k") + 1)
     per_length = per_length.withColumn("least", F.greatest(F.ceil(F.lit(similarity) * (size + F.col("n")) / F.lit(1 + similarity) - 1e-9).cast("int"), F.lit(1)))
     placed = per_length.select("doc_id", "of_text", "k", "length", _starts("at", "last", "n", "least").alias("starts")).where(F.size("starts") > 0)
@@ -124,9 +125,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     wanted = _within(placed.withColumnsRenamed({"doc_id": "w_id", "of_text": "w_text"}), BROADCAST_DOCUMENTS)
     again = source.join(wanted, F.expr("doc_id <=> w_id and of_text = w_text")).select("doc_id", "of_text", words_of(F.col("text")).alias("words"), "lengths")
     windows = again.select("doc_id", "of_text", "words", F.explode("lengths").alias("l")).select("doc_id", "of_text", "words", "l.k", "l.length", F.explode("l.starts").alias("start_word"))
-    windows = windows.select("doc_id", "of_text", "length", "start_word", shingles_of(F.slice("words", F.col("start_word") + 1, F.col("length")), F.col("k")).alias("shingles"))
-    windows = windows.dropDuplicates(["doc_id", "of_text", "length", "start_word"])
-    windows = scratch.keep(windows.withColumn("fp", simhash_of(F.col("shingles"))).withColumn("window", F.monotonically_increasing_id()), "windows")
+    # Shingles come out of a generator, so that they are made once and not for each bit.
+    windows = windows.select("doc_id", "of_text", "k", "length", "start_word", F.slice("words", F.col("start_word") + 1, F.col("length")).alias("words"))
+    windows = windows.select("*", F.explode(F.array(shingles_of(F.col("words"), F.col("k")))).alias("shingles"))
+    windows = scratch.keep(windows.withColumn("fp", simhash_of(F.col("shingles"))).drop("shingles").withColumn("window", F.monotonically_increasing_id()), "windows")
 
     blocks = radius + 1
     edges = [64 * b // blocks for b in range(blocks + 1)]
@@ -142,10 +144,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     apart = F.col("fp").bitwiseXOR(F.col("item_fp"))
     first = F.coalesce(*(F.when(apart.bitwiseAND(signed(m)) == 0, F.lit(b)) for b, m in enumerate(masks)))  # of the blocks that agree only the first tells the pair
     near = met.where((F.bit_count(apart) <= radius) & (F.col("block") == first)).select("window", "number")
-    pairs = windows.join(near, "window").join(items.select("number", "item_id", "item_shingles"), "number")
+    pairs = windows.join(near, "window").join(items.select("number", "item_id", "item_shingles"), "number").select("*", F.explode(F.array(shingles_of(F.col("words"), F.col("k")))).alias("shingles"))
     scored = pairs.withColumn("similarity", weighted_jaccard(F.col("shingles"), F.col("item_shingles"))).where(F.col("similarity") >= similarity)
     best = F.min_by(F.col("start_word"), F.struct(-F.col("similarity"), F.col("start_word")))
-    out = materialise(scored.groupBy("doc_id", "of_text", "item_id").agg(F.count("*").alias("n_windows"), best.alias("start_word"), F.max("similarity").alias("similarity")), "leaks")
+    out = materialise(scored.groupBy("doc_id", "of_text", "item_id").agg(F.count_distinct("start_word").alias("n_windows"), best.alias("start_word"), F.max("similarity").alias("similarity")), "leaks")
     scratch.close()
     return out
 

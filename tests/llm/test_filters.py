@@ -431,3 +431,21 @@ def test_reputation_decides_some_pages_of_the_query(spark, tmp_path):
     got = sorted((tuple(r) for r in op9_url_filters(spark, str(tmp_path)).collect()), key=str)
     assert got == sorted(duckdb.sql(url_filter.oracle_sql()).fetchall(), key=str)
     assert {"bad" in r[1] for r in got if r[4] == "block"} == {True} and {"bad" in r[1] for r in got if r[4] == "allow"} == {False}
+
+
+def test_windows_are_only_of_lengths_whose_items_share_their_shingles(spark, monkeypatch):
+    """A passage of a long item makes no windows of the lengths of short ones."""
+    import loomseq.llm.decontaminate as D
+
+    kept, keep = {}, D.Scratch.keep
+
+    def told(self, df, name):
+        out = keep(self, df, name)
+        kept[name] = out.count()
+        return out
+
+    monkeypatch.setattr(D.Scratch, "keep", told)
+    items = [(0, " ".join(f"w{j}" for j in range(200)))] + [(i, " ".join(f"x{i}y{j}" for j in range(20 + i))) for i in range(1, 20)]
+    found = leaks(spark.createDataFrame([(1, "before " + items[0][1] + " after"), (2, items[5][1])], "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id, r.similarity) for r in found.collect()} == {(1, 0, 1.0), (2, 5, 1.0)}
+    assert kept["windows"] < 50
