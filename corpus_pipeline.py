@@ -27,10 +27,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays.
 
-    Near are texts whose sets of five-word shingles have a Jaccard similarity
-    of 0.8 or more, exactly: SimHash within three bits misses most such pairs.
+    Near are texts whose SimHash fingerprints of five-word shingles differ in
+    three bits or fewer. Fingerprints miss most pairs whose sets of shingles
+    have a Jaccard similarity of 0.8 or more; these are linked besides, exactly.
     """
-    return keep_one(docs, words_each=5, similarity=True)
+    return keep_one(docs, words_each=5, both=True)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ classes are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -127,8 +127,12 @@ def _screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["src", "dst"])
 
 
-def similar_groups(docs: DataFrame, words_each: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, th, component_id): th is XXH64 of the text, component_id the smallest doc_id reachable over pairs of similarity 0.8 or more."""
+def similar_groups(docs: DataFrame, words_each: int = 5, id_col: str = "doc_id", text_col: str = "text", fingerprint: Callable[[np.ndarray], int] | None = None, links: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """(doc_id, th, component_id): th is XXH64 of the text, component_id the smallest doc_id reachable over pairs of similarity 0.8 or more.
+
+    With ``fingerprint`` (of a text's shingle hashes) and ``links`` (edges src,
+    dst among distinct fp) texts of equal and of linked fingerprints are linked too.
+    """
     spark = docs.sparkSession
     scratch = Scratch(spark)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).withColumn("th", F.xxhash64("text"))
@@ -138,10 +142,11 @@ def similar_groups(docs: DataFrame, words_each: int = 5, id_col: str = "doc_id",
         for batch in batches:
             rows = []
             for t in batch.column(2):
-                have = shingle_set(t.as_py(), words_each)
-                rows.append((class_of(have), len(have), parity_sketch(have)))
-            classes, sizes, sketches = zip(*rows) if rows else ([], [], [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(classes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(sketches, pa.binary())], names=["doc_id", "th", "class", "n", "sketch"])
+                hashes = shingle_hashes(t.as_py(), words_each)
+                have = np.unique(hashes)
+                rows.append((class_of(have), len(have), parity_sketch(have), fingerprint(hashes) if fingerprint else 0))
+            classes, sizes, sketches, fps = zip(*rows) if rows else ([], [], [], [])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(classes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(sketches, pa.binary()), pa.array(fps, pa.int64())], names=["doc_id", "th", "class", "n", "sketch", "fp"])
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, counts = frequent.value
@@ -183,8 +188,18 @@ def similar_groups(docs: DataFrame, words_each: int = 5, id_col: str = "doc_id",
                 rows = [shingle_set(t.as_py(), words_each).view(np.int64) for t in batch.column(1)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int64()))], names=["class", "shingles"])
 
-    found = scratch.keep(source.select("doc_id", "th", "text").mapInArrow(name, "doc_id long, th long, class long, n int, sketch binary"), "found")
+    found = scratch.keep(source.select("doc_id", "th", "text").mapInArrow(name, "doc_id long, th long, class long, n int, sketch binary, fp long"), "found")
     classes = scratch.keep(found.groupBy("class").agg(F.min("doc_id").alias("least"), F.min("th").alias("th"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
+    linked = None
+    if fingerprint and links:
+        named = scratch.keep(found.select("fp", "class").distinct(), "named")
+        first = scratch.keep(named.groupBy("fp").agg(F.min("class").alias("first")), "first")
+        near = scratch.keep(links(first.select("fp")), "near")
+        side = lambda a, b: first.select(F.col("fp").alias(a), F.col("first").alias(b))
+        across = near.join(side("src", "a"), "src").join(side("dst", "b"), "dst").select("a", "b")
+        same = named.join(first, "fp").select(F.col("first").alias("a"), F.col("class").alias("b"))
+        linked = scratch.keep(across.unionByName(same).where("a <> b").select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct(), "linked")
+        scratch.release(named, first, near)
     dealt = source.select("text").mapInArrow(prefixes, "key long, class long, n int, pos int").repartition("key").sortWithinPartitions("key", "class")
     held = scratch.keep(dealt.mapInArrow(_shared, "key long, class long, n int, pos int"), "shared")
 
@@ -210,6 +225,8 @@ def similar_groups(docs: DataFrame, words_each: int = 5, id_col: str = "doc_id",
     leads = scratch.keep(weighted.groupBy("key").agg(F.max_by(F.struct("class", "n", "pos"), F.struct("weight", "class")).alias("lead")), "leads")
     stars = held.join(leads, "key").where((F.col("class") != F.col("lead.class")) & _could_be(F.col("n"), F.col("pos"), F.col("lead.n"), F.col("lead.pos")))
     edges = verified(stars.select(F.least("class", "lead.class").alias("src"), F.greatest("class", "lead.class").alias("dst")))
+    if linked is not None:
+        edges = edges.unionByName(linked)
     scratch.release(met, weights, weighted, leads)
     before = [held]
     for turn in range(ROUNDS + 1):

@@ -161,14 +161,16 @@ def drop_copies(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str)
     return kept
 
 
-def keep_one(docs: DataFrame, words_each: int = SHINGLE_WORDS, radius: int = RADIUS, similarity: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, words_each: int = SHINGLE_WORDS, radius: int = RADIUS, similarity: bool = False, both: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the document of the smallest id of each group; see ``drop_copies``.
 
     Groups are those of fingerprints within ``radius`` or, with ``similarity``,
     of a Jaccard similarity of 0.8 or more between shingle sets, which no radius
-    that can be indexed reaches (``jaccard``).
+    that can be indexed reaches (``jaccard``); with ``both`` those of either link.
     """
-    if similarity:
+    if both:
+        groups = similar_groups(docs, words_each, id_col, text_col, majority, lambda nodes: fingerprint_links(nodes, radius))
+    elif similarity:
         groups = similar_groups(docs, words_each, id_col, text_col)
     else:
         groups = near_duplicates(docs, words_each, radius, id_col, text_col)

@@ -271,3 +271,35 @@ def test_shared_rows_across_batches():
             batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*((k, c, c, 0) for k, c in rows[i : i + size])), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=names) for i in range(0, 300, size)]
             got = sorted((r["key"], r["class"]) for b in _shared(iter(batches)) for r in b.to_pylist())
             assert got == sorted((k, c) for k, cs in classes.items() if len(cs) > 1 for c in cs)
+
+
+def test_the_stage_links_fingerprints_and_similar_sets(spark):
+    """Of three pairs one is near by its fingerprints alone, one by its sets alone, one by neither."""
+    import random
+
+    from corpus_pipeline import simhash_near_dedup
+    from loomseq.llm.jaccard import shingle_set
+    from loomseq.llm.simhash import fingerprint
+
+    rng = random.Random(5)
+    words = lambda n: ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n)]
+    apart = lambda a, b: ((fingerprint(a, 5) ^ fingerprint(b, 5)) & (1 << 64) - 1).bit_count()
+
+    def share(a, b):
+        x, y = (set(shingle_set(t, 5).tolist()) for t in (a, b))
+        return len(x & y) / len(x | y)
+
+    def pair(by_bits, by_sets):
+        while True:
+            if by_bits:
+                passage = words(15) * 40
+                a, b = (" ".join(passage + words(20)) for _ in range(2))
+            else:
+                base, at = words(80), rng.randrange(20, 60)
+                a, b = " ".join(base), " ".join(base[:at] + words(1 if by_sets else 30) + base[at + 1 :])
+            if (apart(a, b) <= 3) == by_bits and (share(a, b) >= 0.8) == by_sets:
+                return a, b
+
+    texts = [t for kind in ((True, False), (False, True), (False, False)) for t in pair(*kind)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash_near_dedup(spark, docs, "").collect()) == [0, 2, 4, 5]
